@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rampart.functions.plan import evaluate_once
 from rampart.functions.text import last_wins_map_sql, literal, string_array, strip_sql
 from rampart.specs import ParserSpec, SpecSet
 
@@ -24,8 +25,9 @@ LEEF_KEYS = ["leef_version", "device_vendor", "device_product", "device_version"
 
 # One key=value pair.  Key characters are possessive and may not be preceded by
 # another key character: the same pairs are found, but a long word without "="
-# is scanned once instead of once per letter.
-KEY_VALUE = r"""(?<![a-zA-Z0-9_.\-])([a-zA-Z0-9_.\-]++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s,]++)"""
+# is scanned once instead of once per letter.  (Java's \w is [a-zA-Z0-9_], and
+# several times faster than spelling that out.)
+KEY_VALUE = r"""(?<![\w.\-])([\w.\-]++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s,]++)"""
 
 MARK = "\x01"  # separates captured groups within one string
 
@@ -168,12 +170,15 @@ def _after_equals(text: str) -> str:
     return f"substr({text}, instr({text}, '=') + 1)"
 
 
-def json_entries_sql(text: str) -> str:
-    """Leaves of a JSON object as ``array<struct<key,value>>`` with dotted keys.
+LEAF_DDL = "struct<key: string, text: string, kind: string, top: boolean>"
 
-    NULL when the text holds no single JSON object.  Each round of the fold opens
-    one more nesting level; the number of braces bounds the depth, so any depth is
-    covered.  Objects without members vanish, arrays stay values.
+
+def json_root_sql(text: str) -> str:
+    """The JSON object of a text as a variant, NULL when there is none.
+
+    The parser ignores what follows the object.  Where a brace is followed by
+    something that may not follow it, the text is parsed once more inside an array,
+    which makes trailing text an error.
     """
     trimmed = (
         f"CASE WHEN startswith({text}, '{{') AND endswith({text}, '}}') THEN {text}"
@@ -181,45 +186,65 @@ def json_entries_sql(text: str) -> str:
         f" THEN substr({text}, instr({text}, '{{'),"
         f" greatest(length({text}) - instr(reverse({text}), '}}') + 2 - instr({text}, '{{'), 0)) END"
     )
-    # Wrapped in an array, anything after the object makes the text invalid.
-    items = f"try_variant_get(try_parse_json(concat('[', {trimmed}, ']')), '$', 'array<variant>')"
-    is_object = "startswith(schema_of_variant({0}), 'OBJECT')"
-    depth = f"length({text}) - length(replace({text}, '{{', ''))"
-    opened = (
-        "flatten(transform(acc, e -> CASE WHEN " + is_object.format("e.value") + " THEN"
-        " transform(map_entries(CAST(e.value AS MAP<STRING, VARIANT>)),"
-        " c -> struct(concat(e.key, '.', c.key) AS key, c.value AS value, false AS top))"
-        " ELSE array(e) END))"
+    odd = literal(r"\}\s*[^\s,\}\]]")
+    alone = "coalesce(size(try_variant_get(try_parse_json(concat('[', t, ']')), '$', 'array<variant>')) = 1, false)"
+    return (
+        f"get(transform(array({trimmed}), t ->"
+        f" CASE WHEN t RLIKE {odd} AND NOT {alone} THEN NULL ELSE try_parse_json(t) END), 0)"
+    )
+
+
+def json_leaves_sql(root: str, text: str) -> str:
+    """Leaves of a JSON object with dotted keys, as ``array<LEAF_DDL>``.
+
+    Each round of the fold opens the objects found by the round before; the number
+    of braces bounds the depth, so any depth is covered.  Objects without members
+    vanish, arrays stay values.
+    """
+    members = "map_entries(CAST({0} AS MAP<STRING, VARIANT>))"
+    node = "struct({0} AS key, c.value AS value, schema_of_variant(c.value) AS kind)"
+    first = f"transform({members.format(root)}, c -> {node.format('c.key')})"
+    deeper = (
+        f"flatten(transform(acc.open, o -> transform({members.format('o.value')},"
+        f" c -> {node.format(chr(39).join(['concat(o.key, ', '.', ', c.key)']))})))"
     )
+
+    def split(nodes: str, done: str, top: str) -> str:
+        is_open = "startswith(n.kind, 'OBJECT')"
+        leaf = (
+            "struct(n.key AS key, CASE WHEN startswith(n.kind, 'ARRAY') THEN to_json(n.value)"
+            f" ELSE CAST(n.value AS STRING) END AS text, n.kind AS kind, {top} AS top)"
+        )
+        leaves = f"transform(filter(ns, n -> NOT {is_open}), n -> {leaf})"
+        return (
+            f"get(transform(array({nodes}), ns -> struct("
+            f"{f'concat({done}, {leaves})' if done else leaves} AS done,"
+            f" filter(ns, n -> {is_open}) AS open)), 0)"
+        )
+
+    depth = f"length({text}) - length(replace({text}, '{{', ''))"
     return (
-        f"get(transform({items}, root -> CASE WHEN size({items}) = 1 AND {is_object.format('root')}"
-        f" THEN aggregate(sequence(1, {depth}),"
-        " transform(map_entries(CAST(root AS MAP<STRING, VARIANT>)),"
-        " c -> struct(c.key AS key, c.value AS value, true AS top)),"
-        f" (acc, level) -> {opened}) END), 0)"
+        f"CASE WHEN startswith(schema_of_variant({root}), 'OBJECT') THEN"
+        f" aggregate(sequence(1, {depth}), {split(first, '', 'true')},"
+        f" (acc, level) -> CASE WHEN size(acc.open) = 0 THEN acc ELSE {split(deeper, 'acc.done', 'false')} END,"
+        f" acc -> acc.done) END"
     )
 
 
-def json_tokens_sql(entries: str) -> tuple[str, str, str]:
+def json_tokens_sql(leaves: str) -> tuple[str, str, str]:
     """Keys, text values and, for what is not a string, JSON literals.
 
     A member written with a literal dot at the top beats a nested one of that name,
     hence the order.
     """
-    ordered = f"concat(filter({entries}, e -> NOT e.top), filter({entries}, e -> e.top))"
-    kind = "schema_of_variant(e.value)"
-    text = "CAST(e.value AS STRING)"
+    ordered = f"concat(filter({leaves}, e -> NOT e.top), filter({leaves}, e -> e.top))"
     # A number written with a fraction keeps one: 1.0 reads as "1.0", not "1".
     number = (
-        f"CASE WHEN startswith({kind}, 'DECIMAL') AND NOT contains({text}, '.')"
-        f" AND length({text}) < 19 THEN concat({text}, '.0') ELSE {text} END"
-    )
-    value = f"CASE WHEN {kind} = 'BOOLEAN' THEN initcap({text}) ELSE {number} END"
-    json = (
-        f"CASE WHEN {kind} IN ('STRING', 'VOID') THEN NULL"
-        f" WHEN startswith({kind}, 'ARRAY') THEN to_json(e.value)"
-        f" WHEN {kind} = 'BOOLEAN' THEN {text} ELSE {number} END"
+        "CASE WHEN startswith(e.kind, 'DECIMAL') AND NOT contains(e.text, '.')"
+        " AND length(e.text) < 19 THEN concat(e.text, '.0') ELSE e.text END"
     )
+    value = f"CASE WHEN e.kind = 'BOOLEAN' THEN initcap(e.text) ELSE {number} END"
+    json = f"CASE WHEN e.kind NOT IN ('STRING', 'VOID') THEN {number} END"
     return (
         f"transform({ordered}, e -> e.key)",
         f"transform({ordered}, e -> {value})",
@@ -302,14 +327,15 @@ def with_fields(df: DataFrame, specs: SpecSet, line: str = "raw_event") -> DataF
         df = df.select("*", _python_capture(spec)(text).alias(name))
         cells.append(([spec.id], name))
         python_cells.append(name)
-    entries = [(specs.ids("json"), json_entries_sql("payload"))]
     df = df.select(
         "*",
         F.expr(_by_parser(cells, "CAST(NULL AS ARRAY<STRING>)")).alias("_cells"),
         F.expr(
-            _by_parser(entries, "CAST(NULL AS ARRAY<STRUCT<key: STRING, value: VARIANT, top: BOOLEAN>>)")
-        ).alias("_entries"),
+            _by_parser([(specs.ids("json"), json_root_sql("payload"))], "CAST(NULL AS VARIANT)")
+        ).alias("_root"),
     )
+    leaves = json_leaves_sql("_root", "payload")
+    df = df.select("*", F.expr(f"CASE WHEN _root IS NOT NULL THEN {leaves} END").alias("_leaves"))
 
     # Tokens: parallel key and value arrays.
     def tokens(keys: str, vals: str, json: str = "CAST(NULL AS ARRAY<STRING>)") -> str:
@@ -328,7 +354,7 @@ def with_fields(df: DataFrame, specs: SpecSet, line: str = "raw_event") -> DataF
             cut.append(([spec.id], unless_missing("_cells", tokens(*csv_tokens_sql("_cells", spec.columns)))))
     cut.append((specs.ids("cef"), unless_missing("_cells", tokens(*cef_tokens_sql("_cells")))))
     cut.append((specs.ids("leef"), unless_missing("_cells", tokens(*leef_tokens_sql("_cells")))))
-    cut.append((specs.ids("json"), unless_missing("_entries", tokens(*json_tokens_sql("_entries")))))
+    cut.append((specs.ids("json"), unless_missing("_leaves", tokens(*json_tokens_sql("_leaves")))))
     cut.append((specs.ids("syslog"), tokens("array('message')", "array(payload)")))
     scan = tokens(*key_value_sql("payload"))
     df = df.select(
@@ -338,7 +364,7 @@ def with_fields(df: DataFrame, specs: SpecSet, line: str = "raw_event") -> DataF
     literals = "map_filter({0}, (k, v) -> v IS NOT NULL)".format(
         last_wins_map_sql("_tokens.keys", "_tokens.json")
     )
-    return df.select(
+    return evaluate_once(df).select(
         *base,
         "syslog_pri",
         "payload",

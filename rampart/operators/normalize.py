@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rampart.functions import taxonomy
+from rampart.functions.plan import evaluate_once
 from rampart.functions.text import (
     literal,
     number_sql,
@@ -246,10 +247,10 @@ def normalize(
         (F.current_timestamp() if ingested_at is None else ingested_at.cast("timestamp")).alias("ingested_at"),
     )
     # The event id is fixed here, before anything that could be evaluated twice.
-    parsed = with_fields(with_parser(source, specs, parser_id=parser_id), specs)
-    typed = with_typed_values(with_source_values(parsed, specs), specs)
-    matched = with_indicator(with_network_context(typed, places), indicators, mode=mode)
-    return _as_event(matched, collector_id, keep, details)
+    parsed = evaluate_once(with_fields(with_parser(source, specs, parser_id=parser_id), specs))
+    typed = with_typed_values(evaluate_once(with_source_values(parsed, specs)), specs)
+    matched = with_indicator(with_network_context(evaluate_once(typed), places), indicators, mode=mode)
+    return _as_event(evaluate_once(matched), collector_id, keep, details)
 
 
 def _as_event(df: DataFrame, collector_id: str, keep: list[str], details: bool) -> DataFrame:
