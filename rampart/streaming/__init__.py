@@ -1 +1 @@
-
+"""The same operators over streams."""
