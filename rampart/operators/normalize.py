@@ -16,7 +16,6 @@ from rampart.functions.plan import evaluate_once
 from rampart.functions.text import (
     literal,
     number_sql,
-    string_array,
     string_map,
     strip,
     strip_sql,
@@ -79,18 +78,34 @@ def _spec_text(specs: SpecSet, attribute: str) -> str:
     return _per_parser(values, literal(FALLBACK[attribute]))
 
 
-def _candidate_keys(specs: SpecSet, canonical: str) -> str:
-    values = {s.id: string_array(s.source_keys(canonical)[0]) for s in specs}
-    return _per_parser(values, string_array(DEFAULT_KEYS[canonical]))
+def _source_key(specs: SpecSet, canonical: str) -> str:
+    """Token that feeds a canonical field of the row.
 
+    A single-key rule names its token outright (one literal map for all such
+    parsers); a list takes its first token with a value.
+    """
 
-def _single_keys(specs: SpecSet) -> str:
-    """Keys used up by single-key rules, whatever their value."""
-    values = {}
+    def first_present(keys: list[str]) -> str:
+        tests = " ".join(f"WHEN fields[{literal(k)}] IS NOT NULL THEN {literal(k)}" for k in keys)
+        return f"CASE {tests} END" if keys else "CAST(NULL AS STRING)"
+
+    single: dict[str, str] = {}
+    lists: dict[tuple[str, ...], list[str]] = {}
     for spec in specs:
-        rules = [spec.source_keys(canonical) for canonical in FIELDS]
-        values[spec.id] = string_array(sorted({keys[0] for keys, single in rules if single}))
-    return _per_parser(values, string_array([]))
+        keys, is_single = spec.source_keys(canonical)
+        if is_single:
+            single[spec.id] = keys[0]
+        elif keys != DEFAULT_KEYS[canonical]:
+            lists.setdefault(tuple(keys), []).append(spec.id)
+    branches = " ".join(
+        f"WHEN parser_id IN ({', '.join(literal(i) for i in ids)}) THEN {first_present(list(keys))}"
+        for keys, ids in lists.items()
+    )
+    default = first_present(DEFAULT_KEYS[canonical])
+    by_list = f"CASE {branches} ELSE {default} END" if branches else default
+    if not single:
+        return by_list
+    return f"coalesce(try_element_at({string_map(single)}, parser_id), {by_list})"
 
 
 def _custom_actions(specs: SpecSet) -> str:
@@ -108,21 +123,18 @@ def _custom_actions(specs: SpecSet) -> str:
 def with_source_values(df: DataFrame, specs: SpecSet) -> DataFrame:
     """Resolve every canonical field to its source value (``v_*``) and collect
     what no field used in ``unmapped``."""
+    falsy = "map_keys(map_filter(json_literals, (k, v) -> v IN ('false', '[]') OR try_cast(v AS DOUBLE) = 0))"
     keyed = df.select(
         "*",
-        *[
-            F.expr(
-                f"get(filter({_candidate_keys(specs, canonical)}, k -> fields[k] IS NOT NULL), 0)"
-            ).alias(f"k_{name}")
-            for canonical, name in FIELDS.items()
-        ],
+        *[F.expr(_source_key(specs, canonical)).alias(f"k_{name}") for canonical, name in FIELDS.items()],
+        F.expr(falsy).alias("_falsy"),
     )
-    falsy = "try_cast(json_literals[{0}] AS DOUBLE) = 0 OR json_literals[{0}] IN ('false', '[]')"
-    text = "CASE WHEN fields[{0}] <> '' AND NOT coalesce(" + falsy + ", false) THEN fields[{0}] END"
-    used = ", ".join(f"k_{name}" for name in FIELDS.values())
+    text = "CASE WHEN fields[{0}] <> '' AND NOT coalesce(array_contains(_falsy, {0}), false) THEN fields[{0}] END"
+    used = f"array_compact(array({', '.join(f'k_{n}' for n in FIELDS.values())}))"
+    # The keys in use are bound once per row, not worked out again for every token.
     unmapped = (
-        f"map_filter(fields, (k, v) -> NOT startswith(k, '_syslog') AND NOT array_contains("
-        f"concat({_single_keys(specs)}, array_compact(array({used}))), k))"
+        f"get(transform(array({used}), used -> map_filter(fields, (k, v) ->"
+        f" NOT startswith(k, '_syslog') AND NOT array_contains(used, k))), 0)"
     )
     return keyed.select(
         *df.columns,

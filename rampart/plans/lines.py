@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rampart.functions.plan import spread
+
 
 def _s(expr: str) -> str:
     return f"CAST({expr} AS STRING)"
@@ -129,7 +131,9 @@ def with_lines(events: DataFrame) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_lines(table(spark, sf_dir, "events"))
+    # Parsing is by far the heaviest part, so it should not run in one task.
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    return with_lines(spread(events, "event_id"))
 
 
 # The same lines for DuckDB: ``seed`` has every seed column, ``line`` and the keys.

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rampart.functions import net, taxonomy
+from rampart.functions.plan import too_few_tasks
 from rampart.functions.session import fresh_path
 from rampart.functions.text import strip
 from rampart.operators import enrich, export, features, report, risk, search
@@ -686,8 +687,12 @@ def indexed_lookup(spark, sf_dir):
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = T.StructType(table(spark, sf_dir, "events").schema.fields)
+    stored = table(spark, sf_dir, "events")
+    schema = T.StructType(stored.schema.fields)
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    source = source.select("event_id", "user_id", "event_type", "value")
+    if too_few_tasks(stored):
+        source = source.repartition(spark.sparkContext.defaultParallelism, "event_id")
     return with_lines(source)
 
 
