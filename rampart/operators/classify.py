@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rampart.functions.plan import evaluate_once
 from rampart.functions.text import char_count
 from rampart.specs import SpecSet
 
@@ -103,5 +104,5 @@ def with_parser(
     """
     if parser_id and parser_id in specs:
         return df.select("*", F.lit(parser_id).alias("parser_id"), F.lit(1.0).alias("confidence"))
-    routed = df.select("*", classify(F.col(line)).alias("_route"))
+    routed = evaluate_once(df.select("*", classify(F.col(line)).alias("_route")))
     return routed.select(*df.columns, "_route.parser_id", "_route.confidence")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rampart.functions import net
+from rampart.functions.plan import evaluate_once
 from rampart.functions.text import literal
 from rampart.operators.lookup import attach, fits_broadcast
 
@@ -204,7 +205,11 @@ def with_network_context(df: DataFrame, index: PlaceIndex | None = None) -> Data
     """Add internal flags, places and ``direction`` from ``src_ip`` and ``dst_ip``."""
     base = df.columns
     for prefix in ("src", "dst"):
-        df = with_place(with_address(df, f"{prefix}_ip", prefix), prefix, index)
+        df = with_address(df, f"{prefix}_ip", prefix)
+    df = evaluate_once(df)
+    for prefix in ("src", "dst"):
+        df = with_place(df, prefix, index)
+    df = evaluate_once(df)
     keep = [f"{p}_{c}" for p in ("src", "dst") for c in ("is_internal", "country", "city", "asn")]
     return df.select(*base, *keep, F.expr(direction_sql("src", "dst")).alias("direction"))
 

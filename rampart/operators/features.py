@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rampart.functions.plan import in_small_methods
 from rampart.functions.taxonomy import BLOCKING, SEVERITY_RANK
 from rampart.functions.text import round_half_even
 
@@ -66,7 +67,7 @@ def feature_columns() -> list[Column]:
         "action_allowed": _flag(F.col("disposition") == "Allowed"),
         "severity_level": ranks,
         "threat_flag": _flag(F.col("threat").isNotNull()),
-        "threat_confidence": F.coalesce("threat.confidence_score", F.lit(0.0)),
+        "threat_confidence": F.expr(in_small_methods("coalesce(threat.confidence_score, 0D)")),
     }
     for name in ("Inbound", "Outbound", "Lateral", "External"):
         features[f"direction_{name.lower()}"] = _flag(F.col("connection_info.direction") == name)

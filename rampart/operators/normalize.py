@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rampart.functions import taxonomy
-from rampart.functions.plan import evaluate_once
+from rampart.functions.plan import evaluate_once, in_small_methods
 from rampart.functions.text import (
     literal,
     number_sql,
@@ -157,7 +157,8 @@ def with_typed_values(df: DataFrame, specs: SpecSet) -> DataFrame:
         *base, *texts, *[F.expr(number_sql(f"v_{n}")).alias(f"n_{n}") for n in NUMBER_FIELDS.values()]
     )
     infinite = " OR ".join(f"abs({n}) = double('Infinity')" for n in numbers)
-    df = df.select("*", F.expr(f"CASE WHEN {infinite} THEN {literal(OVERFLOW_ERROR)} END").alias("error"))
+    error = F.expr(f"CASE WHEN {infinite} THEN {literal(OVERFLOW_ERROR)} END").alias("error")
+    df = evaluate_once(df).select("*", error)
 
     def valid(column: str) -> Column:
         return F.when(F.col("error").isNull(), F.col(column))
@@ -170,6 +171,7 @@ def with_typed_values(df: DataFrame, specs: SpecSet) -> DataFrame:
         *[valid(t).alias(t) for t in texts],
         *[F.expr(f"CASE WHEN error IS NULL THEN try_cast({n} AS BIGINT) END").alias(n) for n in numbers],
     )
+    df = evaluate_once(df)
     kept = [c for c in df.columns if c not in texts and c not in numbers]
     unknown = "CASE WHEN error IS NULL THEN {0} ELSE {1} END"
     is_ssh = "(try_cast(n_dst_port AS INT) = 22 OR try_cast(n_src_port AS INT) = 22)"
@@ -319,8 +321,11 @@ def _as_event(df: DataFrame, collector_id: str, keep: list[str], details: bool)
         "traffic": F.struct(
             "bytes_in", "bytes_out", "total_bytes", "packets_in", "packets_out", "total_packets", "duration_ms"
         ),
-        "disposition": F.when(escalate & (col("vendor_disposition") == "Unknown"), "Alerted").otherwise(
-            col("vendor_disposition")
+        "disposition": F.expr(
+            in_small_methods(
+                "CASE WHEN vendor_threat IS NULL AND indicator IS NOT NULL AND vendor_disposition = 'Unknown'"
+                " THEN 'Alerted' ELSE vendor_disposition END"
+            )
         ),
         "disposition_reason": none,
         "severity": F.when(

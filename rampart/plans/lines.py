@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rampart.functions.plan import spread
+from rampart.functions.plan import evaluate_once, spread
 
 
 def _s(expr: str) -> str:
@@ -127,7 +127,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def with_lines(events: DataFrame) -> DataFrame:
     """Event ids with their log line."""
     seeded = events.select("event_id", "user_id", "event_type", *[F.expr(v).alias(k) for k, v in SEED.items()])
-    return seeded.select("event_id", F.expr(LINE).alias("raw_event"))
+    return evaluate_once(seeded.select("event_id", F.expr(LINE).alias("raw_event")))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
