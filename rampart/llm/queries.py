@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rampart.functions.session import fresh_path
-from rampart.llm import counts, mixing, packing, repair, urls
+from rampart.llm import counts, language, mixing, packing, repair, toxicity, urls
 from rampart.llm.common import WORD, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,26 @@ def op6_mixing(spark, sf_dir):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
+    """Learned from the labelled documents that are not held out."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_labelled"), "toxic")
+    learn = docs.where(~toxicity.split(F.col("doc_id"))).select("doc_id", "text")
+    return toxicity.train(learn.join(labels, learn["doc_id"] == labels["_labelled"]))
+
+
+@query()
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id",
+        toxicity.split(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        F.when(F.col("toxicity") >= 0.3, 1).otherwise(0).alias("predicted"),
+        "spans",
+    )
+
+
 @query()
 def op8_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -92,6 +112,20 @@ def op8_packing(spark, sf_dir):
     return pieces.drop("continued", "continues")
 
 
+@query()
+def op9_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs, ~toxicity.split(F.col("doc_id")))
+    found = language.detect(docs, model)
+    return found.select(
+        "doc_id",
+        toxicity.split(F.col("doc_id")).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        "ambiguous",
+    )
+
+
 @query()
 def op10_trie_counts(spark, sf_dir):
     return counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
