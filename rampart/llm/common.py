@@ -23,9 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` as a table in the shared folder: computed once, and read
     again by whatever needs them, also after executors were lost."""
+    return staged_twice(df, name)[0]
+
+
+def staged_twice(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """The same, as two frames that can be joined or grouped with each other."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    reader = df.sparkSession.read.schema(df.schema)
+    return reader.parquet(path), reader.parquet(path)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_CHARS) -> Iterator[tuple[int, list[str]]]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rampart.functions.session import fresh_path
-from rampart.llm import counts, language, mixing, packing, repair, toxicity, urls
+from rampart.llm import counts, covertree, language, minhash, mixing, packing, pq, repair, toxicity, urls
 from rampart.llm.common import WORD, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,27 @@ def op1_repair(spark, sf_dir):
     return repair.read_digests(spark, path)
 
 
+@query(
+    """WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+g AS (SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS n FROM v WHERE label IS NOT NULL),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM (FROM g WHERE isfinite(n) AND n > 0) a JOIN (FROM g WHERE isfinite(n) AND n > 0) b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.98),
+r AS (WITH RECURSIVE reach(a, b) AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a) SELECT a, min(b) AS b FROM reach GROUP BY a),
+c AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(c.n, 0) AS n_links, coalesce(least(vec_id, r.b), vec_id) AS component_id,
+  coalesce(least(vec_id, r.b), vec_id) = vec_id AS kept
+FROM v LEFT JOIN c ON c.a = vec_id LEFT JOIN r ON r.a = vec_id"""
+)
+def op2_product_quantisation(spark, sf_dir):
+    return pq.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op3_minhash(spark, sf_dir):
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return found.drop("node", "other")
+
+
 @query(
     f"""WITH p AS (SELECT page_id, url, coalesce(strpos(url, '://'), 0) AS mark FROM pages),
 q AS (SELECT page_id, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest FROM p),
@@ -85,6 +106,17 @@ def op6_mixing(spark, sf_dir):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query(
+    """WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+)
+def op5_cover_tree(spark, sf_dir):
+    return covertree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
     """Learned from the labelled documents that are not held out."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_labelled"), "toxic")
