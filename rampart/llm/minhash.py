@@ -39,6 +39,7 @@ from rampart.llm.common import WORD, slices, staged
 from rampart.llm.components import attach, components
 from rampart.llm.urls import UPPER
 
+WORDS, PERCENT = 5, 80
 ROWS, BANDS = 6, 32
 STAR_ROUNDS = 2
 # Signatures estimate a similarity to within this, but for a chance below 1e-6.
@@ -320,7 +321,7 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return found
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the least id
     of its near-duplicates, itself included), kept (it has that id), and node and other,
     the fingerprint of its set.
