@@ -94,16 +94,17 @@ def mix(
     text feed the hash behind the key.
     """
     names = ("size", "source_size", "target", "taken")
-    kept = [c for c in docs.columns if c not in names]
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
     weight = quality(F.col(text))
     weight = F.when(weight > 0, weight).otherwise(F.lit(1.0))
-    parts = [F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("\x01")) for c in identity)]
-    digest = F.md5(F.concat_ws("\x02", *parts, F.md5(F.coalesce(F.col(text), F.lit("\x01")))))
+    ids = [F.coalesce(F.col(c).cast("string"), F.lit("\x01")) for c in identity]
+    digest = F.md5(F.concat_ws("\x02", F.lit(str(seed)), *ids, F.md5(F.coalesce(F.col(text), F.lit("\x01")))))
     # 52 bits, so that u is never 0 or 1.
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
-    drawn = {"size": word_count(F.col(text)), "_weight": weight, "_key": -F.log(u) / weight}
+    drawn = {"_source": F.col(source), "size": word_count(F.col(text)), "_weight": weight, "_key": -F.log(u) / weight}
+    drawn = [column.alias(name) for name, column in drawn.items()]
     # Without the texts: for the sums per source and bin.
-    narrow = staged(docs.select(F.col(source).alias("_source"), *(c.alias(n) for n, c in drawn.items())), "mix-sizes")
+    narrow = staged(docs.select(*drawn), "mix-sizes")
     totals = narrow.groupBy(F.col("_source").alias("source")).agg(
         F.sum("size").alias("source_size"), F.count("*").alias("_rows"), F.avg("_weight").alias("_mean")
     )
@@ -119,16 +120,19 @@ def mix(
     start = F.coalesce(F.sum("_bin_size").over(in_source), F.lit(0)).alias("_start")
     starts = staged(sums.select(F.col("_source").alias("_s2"), F.col("_bin").alias("_b"), start), "mix-bins")
 
-    sized = docs.select(*kept, *(c.alias(n) for n, c in drawn.items()), F.substring(digest, 14, 19).alias("_tie"))
-    rows = _bins(sized.join(plan, sized[source].eqNullSafe(plan["_s"])))
+    # The input's own columns travel as one struct, so no name of theirs is in the way.
+    order = [F.col(c).alias(f"_id{i}") for i, c in enumerate(identity)]
+    sized = docs.select(F.struct(*kept).alias("_row"), *drawn, *order, F.substring(digest, 14, 19).alias("_tie"))
+    rows = _bins(sized.join(plan, sized["_source"].eqNullSafe(plan["_s"])))
     rows = rows.join(starts, rows["_s"].eqNullSafe(starts["_s2"]) & (rows["_bin"] == starts["_b"]))
-    order = Window.partitionBy("_s", "_bin").orderBy("_key", *identity, "_tie")
-    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = [f"_id{i}" for i in range(len(identity))]
+    in_bin = Window.partitionBy("_s", "_bin").orderBy("_key", *places, "_tie")
+    before = F.coalesce(F.sum("size").over(in_bin.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     budget = F.floor(F.col("target") - epochs * F.col("source_size"))
     part = F.greatest(F.lit(0), F.least(F.col("size"), budget - F.col("_start") - before))
     taken = (epochs * F.col("size") + part).cast("long")
-    return rows.select(*kept, "size", "source_size", "target", taken.alias("taken"))
+    return rows.select("_row.*", "size", "source_size", "target", taken.alias("taken"))
 
 
 def _bins(rows: DataFrame) -> DataFrame:
