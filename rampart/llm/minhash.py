@@ -323,8 +323,8 @@ def _all(frames: list[DataFrame]) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the least id
-    of its near-duplicates, itself included), kept (it has that id), and node and other,
-    the fingerprint of its set.
+    of its near-duplicates, itself included), kept (it has that id), group (a number of the
+    component, NULL without words), and node and other, the fingerprint of its set.
 
     Sets link if 100 * intersection >= percent * union.
     """
@@ -338,12 +338,12 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
         of_node = staged(of_node, "node-groups")
         groups = of_node.groupBy("group").agg(F.min("least").alias("component_id"), F.count("*").alias("n_rows"))
         nodes = attach(of_node.select("node", "group", F.col("n_rows").alias("node_rows")), groups, "group", of_node.count())
-        nodes = nodes.select("node", "component_id", F.col("node_rows").alias("n_rows"))
+        nodes = nodes.select("node", "component_id", "group", F.col("node_rows").alias("n_rows"))
     else:
-        nodes = nodes.select("node", F.col("least").alias("component_id"), "n_rows")
+        nodes = nodes.select("node", F.col("least").alias("component_id"), F.col("node").alias("group"), "n_rows")
     nodes = staged(nodes, "node-ids")
     found = attach(rows.where("n_shingles > 0"), nodes, "node", rows.count())
-    alone = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    alone = rows.where("n_shingles = 0").select("*", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group"))
     both = found.unionByName(alone)
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
-    return both.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "node", "other")
+    return both.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "group", "node", "other")

@@ -61,7 +61,7 @@ def op2_product_quantisation(spark, sf_dir):
 @query()
 def op3_minhash(spark, sf_dir):
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
-    return found.drop("node", "other")
+    return found.drop("group", "node", "other")
 
 
 @query(

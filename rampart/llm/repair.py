@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rampart.llm.common import slices, with_offsets
-from rampart.llm.encoding import encoder
+from rampart.llm.encoding import encoder, gather
 
 BLOCK_TOKENS = 2_000_000
 ROUNDS = 12
@@ -52,38 +52,42 @@ def compress(
     No pair begins at a symbol marked ``last`` (the end of a document).
     """
     symbols, rules = ids.astype(np.uint32), []
-    next_symbol = first_rule
+    next_symbol, none = first_rule, 1 << _HASH_BITS
     for turn in range(rounds):
         if len(symbols) < 2:
             break
         left, right = symbols[:-1], symbols[1:]
         mix = left * np.uint32(2654435761 + 2 * turn) + right * np.uint32(2246822519)
-        bucket = ((mix ^ (mix >> np.uint32(15))) * np.uint32(3266489917)) >> np.uint32(32 - _HASH_BITS)
-        count = np.bincount(bucket[~last[:-1]], minlength=1 << _HASH_BITS).astype(np.int32)
+        mix ^= mix >> np.uint32(15)
+        mix *= np.uint32(3266489917)
+        mix >>= np.uint32(32 - _HASH_BITS)
+        bucket = mix.astype(np.int64)
+        bucket[last[:-1]] = none
+        count = np.bincount(bucket, minlength=none + 1)
+        count[none] = 0
         here = count[bucket]
-        here[last[:-1]] = 0
-        # One pair per bucket: others in the bucket wait for another round's hash.
-        pair = left.astype(np.uint64) << np.uint64(32) | right
-        owner = np.zeros(1 << _HASH_BITS, np.uint64)
         live = np.flatnonzero(here >= min_count)
-        owner[bucket[live]] = pair[live]
-        live = live[owner[bucket[live]] == pair[live]]
+        at = bucket[live]
+        # One pair per bucket: others in the bucket wait for another round's hash.
+        pair = left[live].astype(np.uint64) << np.uint64(32) | right[live]
+        owner = np.zeros(none, np.uint64)
+        owner[at] = pair
         # A pair gives way to a more frequent one that it overlaps with.
         rank = np.zeros(len(symbols) + 1, np.int64)
-        rank[live + 1] = here[live].astype(np.int64) << _HASH_BITS | bucket[live]
-        own, before, after = rank[live + 1], rank[live], rank[live + 2]
-        tied = live[(own >= before) & (own >= after)]
+        rank[live + 1] = np.where(owner[at] == pair, here[live] << _HASH_BITS | at, 0)
+        own = rank[1:-1]
+        tied = np.flatnonzero((own >= rank[:-2]) & (own >= rank[2:]) & (own > 0))
         # Equal neighbours are one pair in a run of a symbol: every other one is taken.
         start = np.flatnonzero(np.diff(tied, prepend=-2) != 1)
         run = np.repeat(start, np.diff(np.append(start, len(tied))))
         chosen = tied[(np.arange(len(tied)) - run) % 2 == 0]
-        uses = np.bincount(bucket[chosen], minlength=1 << _HASH_BITS)
+        uses = np.bincount(bucket[chosen], minlength=none)
         kept = uses >= min_count
         chosen = chosen[kept[bucket[chosen]]]
         if not len(chosen):
             break
         used = np.flatnonzero(kept)
-        name = np.zeros(1 << _HASH_BITS, np.uint32)
+        name = np.zeros(none, np.uint32)
         name[used] = next_symbol + np.arange(len(used), dtype=np.uint32)
         rules.append(np.stack([owner[used] >> np.uint64(32), owner[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         next_symbol += len(used)
@@ -110,17 +114,25 @@ def rule_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
     return lengths
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
+def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, first_rule: int) -> np.ndarray:
     """The ids that ``symbols`` stand for."""
-    symbols = symbols.astype(np.uint32)
-    while len(symbols) and symbols.max() >= first_rule:
-        is_rule = symbols >= first_rule
-        out = np.repeat(symbols, 1 + is_rule)
-        at = (np.cumsum(1 + is_rule) - 1 - is_rule)[is_rule]
-        pairs = rules[symbols[is_rule] - first_rule]
+    # Expansions of all rules, in as many steps as rules are nested.
+    flat = np.arange(first_rule, first_rule + len(rules), dtype=np.uint32)
+    while True:
+        is_rule = flat >= first_rule
+        if not is_rule.any():
+            break
+        out = np.repeat(flat, 1 + is_rule)
+        at = (np.cumsum(1 + is_rule) - 2)[is_rule]
+        pairs = rules[flat[is_rule] - first_rule]
         out[at], out[at + 1] = pairs[:, 0], pairs[:, 1]
-        symbols = out
-    return symbols
+        flat = out
+    # Ids below first_rule stand for themselves.
+    table = np.append(np.arange(first_rule, dtype=np.uint32), flat)
+    size = np.append(np.ones(first_rule, np.int64), lengths)
+    start = np.cumsum(size) - size
+    symbols = symbols.astype(np.int64)
+    return gather(start[symbols], size[symbols], table)
 
 
 def decode_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, first_rule: int, start: int, stop: int) -> np.ndarray:
@@ -131,7 +143,7 @@ def decode_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, fi
     ends = np.cumsum(size)
     low, high = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
     begin = ends[low] - size[low] if low < len(ends) else 0
-    return expand(symbols[low:high], rules, first_rule)[start - begin : stop - begin]
+    return expand(symbols[low:high], rules, lengths, first_rule)[start - begin : stop - begin]
 
 
 def _packed(symbols: np.ndarray) -> bytes:
@@ -235,7 +247,8 @@ def _documents(blocks: DataFrame, keep_ids: bool) -> DataFrame:
                 cell = {name: batch.column(name)[row] for name in batch.schema.names}
                 rules = _unpacked(cell["rules"].as_py()).reshape(-1, 2)
                 first_rule = cell["first_rule"].as_py()
-                ids = expand(_unpacked(cell["symbols"].as_py()), rules, first_rule).astype("<u4")
+                lengths = _unpacked(cell["rule_lengths"].as_py()).astype(np.int64)
+                ids = expand(_unpacked(cell["symbols"].as_py()), rules, lengths, first_rule).astype("<u4")
                 sizes = cell["doc_tokens"].values.to_numpy(zero_copy_only=False)
                 stops = np.cumsum(sizes)
                 view = memoryview(ids).cast("B")

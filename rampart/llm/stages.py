@@ -44,7 +44,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     have no duplicates but rows that are equal in all columns."""
     found = minhash.near_duplicates(docs, words=minhash.WORDS, percent=minhash.PERCENT)
     first = F.col("kept") | F.col("component_id").isNull()
-    chosen = staged(found.where(first & (F.col("n_shingles") > 0)).groupBy("component_id", "doc_id").agg(
+    chosen = staged(found.where(first & (F.col("n_shingles") > 0)).groupBy("group", "doc_id").agg(
         F.min(F.struct("node", "other")).alias("set")
     ).select("doc_id", "set.node", "set.other"), "chosen")
     marked = minhash.with_nodes(docs.select(*COLUMNS), minhash.WORDS)
