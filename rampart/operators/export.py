@@ -25,8 +25,11 @@ def event_time() -> Column:
     return F.coalesce(own, iso_text(F.col("lineage.ingestion_timestamp")))
 
 
-def siem_alert(score: Column | int = 25) -> Column:
-    """Alert layout as a struct; the level is the risk score on a 1 to 15 scale."""
+def siem_alert(score: Column | int = 25, prefix: str = "rampart") -> Column:
+    """Alert layout as a struct; the level is the risk score on a 1 to 15 scale.
+
+    ``prefix`` names the installation in the group, agent, manager and decoder.
+    """
     risk = F.lit(score) if isinstance(score, int) else score
     level = F.least(F.greatest(F.floor(risk / 6.5).cast("int"), F.lit(1)), F.lit(15))
     name = F.coalesce("threat.signature_name", F.lit(""))
@@ -45,7 +48,7 @@ def siem_alert(score: Column | int = 25) -> Column:
             F.when(name != "", name)
             .otherwise(F.concat(F.lit("Perimeter firewall traffic: "), "disposition"))
             .alias("description"),
-            F.array(F.lit("firewall"), F.lit("network"), F.lit("ulpf_normalized")).alias("groups"),
+            F.array(F.lit("firewall"), F.lit("network"), F.lit(f"{prefix}_normalized")).alias("groups"),
             F.struct(
                 F.array(
                     F.when(F.contains(F.lower(name), F.lit("scan")), "T1046").otherwise("T1071")
@@ -56,13 +59,13 @@ def siem_alert(score: Column | int = 25) -> Column:
         F.struct(
             F.lit("000").alias("id"),
             F.concat(
-                F.lit("ulpf-"), F.replace(F.lower("product.vendor_name"), F.lit(" "), F.lit("-"))
+                F.lit(f"{prefix}-"), F.replace(F.lower("product.vendor_name"), F.lit(" "), F.lit("-"))
             ).alias("name"),
             F.lit("127.0.0.1").alias("ip"),
         ).alias("agent"),
-        F.struct(F.lit("ulpf-core-manager").alias("name")).alias("manager"),
+        F.struct(F.lit(f"{prefix}-core-manager").alias("name")).alias("manager"),
         F.col("lineage.event_id").alias("id"),
-        F.struct(parser.alias("name"), F.lit("ulpf-universal-decoder").alias("parent")).alias("decoder"),
+        F.struct(parser.alias("name"), F.lit(f"{prefix}-universal-decoder").alias("parent")).alias("decoder"),
         F.struct(
             F.col("src_endpoint.ip").alias("srcip"),
             port("src_endpoint").alias("srcport"),

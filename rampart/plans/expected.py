@@ -71,11 +71,11 @@ _STEP2 = f"""step2 AS (SELECT *,
         WHEN fmt = 4 THEN nullif(level, '') WHEN fmt = 5 THEN nullif(CAST(user_id % 4 AS STRING), '0')
         WHEN fmt = 8 THEN cef_level WHEN fmt = 9 THEN 'Critical' WHEN fmt = 10 THEN '4' END AS e_vendor_severity,
     CASE WHEN fmt = 1 THEN '302013' WHEN fmt = 2 THEN '106023' WHEN fmt = 3 THEN CASE WHEN {_FAILED} THEN 'LOGIN_FAILED' ELSE 'LOGIN_SUCCESS' END
-        WHEN fmt = 5 THEN CAST(2010000 + user_id AS STRING) WHEN fmt = 8 THEN 'drop' WHEN fmt = 9 THEN 'ALERT' END AS v_sig,
+        WHEN fmt = 5 THEN CAST(2010000 + user_id AS STRING) WHEN fmt = 8 THEN 'pkt-7' WHEN fmt = 9 THEN 'ALERT' END AS v_sig,
     CASE WHEN fmt = 5 THEN sig_name WHEN fmt = 8 THEN cef_name END AS v_sig_name,
     CASE WHEN bad THEN NULL WHEN fmt = 0 THEN 'web-browsing' WHEN fmt = 4 THEN 'HTTPS' WHEN fmt = 5 THEN 'http' WHEN fmt = 6 THEN proto_name
         WHEN fmt = 7 THEN 'dns' WHEN fmt = 8 THEN 'ssh' WHEN fmt <> 11 AND dport = 22 THEN 'ssh' END AS e_app,
-    CASE fmt WHEN 0 THEN '2024/01/01 00:00:00' WHEN 3 THEN '2024 Jan 01 00:22:14.882 UTC' WHEN 4 THEN '10:00:00'
+    CASE fmt WHEN 0 THEN '2024/01/01 00:00:00' WHEN 3 THEN '2024 Jan 01 13:05:59.417 UTC' WHEN 4 THEN '10:00:00'
         WHEN 5 THEN '2024-01-01T00:00:00' WHEN 7 THEN '1704067200.' || CAST(event_id AS STRING) END AS e_time,
     CASE WHEN fmt = 0 THEN 22 + CASE WHEN event_id % 7 = 0 THEN 2 ELSE 0 END WHEN fmt IN (1, 2) THEN 7 WHEN fmt IN (3, 5) THEN 5
         WHEN fmt = 4 THEN 6 WHEN fmt = 6 THEN 15 WHEN fmt = 7 THEN 0 WHEN fmt IN (8, 9) THEN 4

@@ -80,12 +80,12 @@ WHEN 0 THEN '<134>1,{_COUNTER_TIME},0018,TRAFFIC,end,1,{_COUNTER_TIME},' || src_
     || {_s('sport')} || ',' || {_s('dport')} || ',0,0,0x0,' || proto_name || ',' || verb || ','
     || {_s('in_bytes + out_bytes + 1')} || ',' || {_s('out_bytes')} || ',' || {_s('in_bytes')}
     || ',9,{_COUNTER_TIME},' || {_s('dur')} || ',any' || CASE WHEN event_id % 7 = 0 THEN ',x1,x2' ELSE '' END
-WHEN 1 THEN '<166>Sep 22 18:01:05 fw-1 %ASA-6-302013: Built outbound TCP connection ' || {_s('sess')}
+WHEN 1 THEN '<166>Mar 04 06:11:40 edge-a %ASA-6-302013: Built outbound TCP connection ' || {_s('sess')}
     || ' for outside:' || dst_ip || '/' || {_s('dport')} || ' (' || dst_ip || '/' || {_s('dport')}
     || ') to inside:' || src_ip || '/' || {_s('sport')} || ' (' || src_ip || '/' || {_s('sport')} || ')'
-WHEN 2 THEN '<164>Sep 22 18:01:10 fw-1 %ASA-4-106023: Deny udp src outside:' || src_ip || '/' || {_s('sport')}
+WHEN 2 THEN '<164>Mar 04 06:11:52 edge-a %ASA-4-106023: Deny udp src outside:' || src_ip || '/' || {_s('sport')}
     || ' dst inside:' || dst_ip || '/' || {_s('dport')} || ' by access-group "OUT" [0x0, 0x0]'
-WHEN 3 THEN '000214: 2024 Jan 01 00:22:14.882 UTC: %SEC_LOGIN-'
+WHEN 3 THEN '009077: 2024 Jan 01 13:05:59.417 UTC: %SEC_LOGIN-'
     || CASE WHEN event_id % 24 = 3 THEN '4-LOGIN_FAILED: Login failed' ELSE '5-LOGIN_SUCCESS: Login Success' END
     || ' [user: u' || {_s('user_id')} || '] [Source: ' || src_ip || '] [port: ' || {_s('dport')} || ']'
     || CASE WHEN event_id % 24 = 3 THEN ' [Reason: Authentication Failure]' ELSE '' END
@@ -100,15 +100,15 @@ WHEN 5 THEN '{{"timestamp":"2024-01-01T00:00:00","flow_id":' || {_s('sess')} ||
     || '","gid":1,"signature_id":' || {_s('2010000 + user_id')} || ',"rev":0,"signature":"' || sig_name
     || '","category":"Misc","severity":' || {_s('user_id % 4')} || '}},"flow":{{"pkts_toserver":1,"pkts_toclient":0,"bytes_toserver":'
     || {_s('out_bytes')} || ',"bytes_toclient":' || {_s('in_bytes')} || '}},"tls":{{}}}}'
-WHEN 6 THEN '<134>Sep 22 18:04:12 pf filterlog: 4,,,1000000103,igb0,match,' || CASE WHEN user_id % 2 = 0 THEN 'pass' ELSE 'block' END
-    || ',in,4,0x0,,64,0,0,DF,6,' || proto_name || ',' || {_s('out_bytes')} || ',' || src_ip || ',' || dst_ip || ','
+WHEN 6 THEN '<134>Mar 04 06:12:09 gate filterlog: 4,,,1770009331,em2,match,' || CASE WHEN user_id % 2 = 0 THEN 'pass' ELSE 'block' END
+    || ',in,4,0x8,,57,311,0,none,6,' || proto_name || ',' || {_s('out_bytes')} || ',' || src_ip || ',' || dst_ip || ','
     || {_s('sport')} || ',' || {_s('dport')}
 WHEN 7 THEN '1704067200.' || {_s('event_id')} || chr(9) || 'C' || {_s('sess')} || chr(9) || src_ip || chr(9) || {_s('sport')}
     || chr(9) || dst_ip || chr(9) || {_s('dport')} || chr(9) || proto_name || chr(9) || 'dns' || chr(9) || {_s('dur')} || '.75'
     || chr(9) || {_s('out_bytes')} || chr(9) || {_s('in_bytes')} || chr(9) || 'SF' || chr(9) || 'T'
-WHEN 8 THEN 'CEF:0|Check Point|FW-1|R81|drop|' || cef_name || '|' || cef_level || '|'
+WHEN 8 THEN 'CEF:0|Acme Networks|EdgeGuard|5.2|pkt-7|' || cef_name || '|' || cef_level || '|'
     || {_kv(("src", "src_ip"), ("dst", "dst_ip"), ("spt", _s("sport")), ("dpt", _s("dport")), ("proto", _s("proto_num")), ("act", "verb"), ("in", _s("in_bytes")), ("out", _s("out_bytes")), ("app", "'ssh'"))}
-WHEN 9 THEN 'LEEF:2.0|Imperva|SecureSphere|14.0|ALERT|' || CASE event_id % 36
+WHEN 9 THEN 'LEEF:2.0|Acme Networks|WebShield|3.1|ALERT|' || CASE event_id % 36
     WHEN 9 THEN {_kv(*_LEEF_PAIRS, glue="chr(9)")}
     WHEN 21 THEN '^|' || {_kv(*_LEEF_PAIRS, glue="'^'")}
     ELSE '0x3B|' || {_kv(*_LEEF_PAIRS, glue="';'")} END

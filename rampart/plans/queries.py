@@ -59,6 +59,7 @@ def events(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 # ------------------------------------------------------------------ classification
+# The signatures in their order, as the classifier has them.
 _LADDER = r"""CASE
   WHEN x = '' THEN 'generic_raw'
   WHEN regexp_matches(x, 'CEF:\s*\d+\|') THEN 'generic_cef'
@@ -160,7 +161,7 @@ def extract_key_value(spark, sf_dir):
     return tokens(spark, sf_dir, "fortinet_fortios", names)
 
 
-@query(expect("""SELECT event_id, '0' AS cef_version, 'Check Point' AS device_vendor, cef_name AS event_name, cef_level AS severity,
+@query(expect("""SELECT event_id, '0' AS cef_version, 'Acme Networks' AS device_vendor, cef_name AS event_name, cef_level AS severity,
 verb AS act, CAST(in_bytes AS VARCHAR) AS "in", 'ssh' AS app, CAST(16 AS INTEGER) AS n_fields FROM expected WHERE fmt = 8"""))
 def extract_cef(spark, sf_dir):
     names = ["cef_version", "device_vendor", "event_name", "severity", "act", "in", "app"]
@@ -207,7 +208,7 @@ def extract_regex_asa_deny(spark, sf_dir):
     return tokens(spark, sf_dir, "cisco_asa", names, "fields['action_verb'] = 'Deny'")
 
 
-@query(expect("""SELECT event_id, '000214' AS seq_num, CASE WHEN event_id % 24 = 3 THEN 'LOGIN_FAILED' ELSE 'LOGIN_SUCCESS' END AS mnemonic,
+@query(expect("""SELECT event_id, '009077' AS seq_num, CASE WHEN event_id % 24 = 3 THEN 'LOGIN_FAILED' ELSE 'LOGIN_SUCCESS' END AS mnemonic,
 CASE WHEN event_id % 24 = 3 THEN 'Login failed' ELSE 'Login Success' END AS message, 'u' || CAST(user_id AS VARCHAR) AS "user", src_ip,
 CASE WHEN event_id % 24 = 3 THEN 'Authentication Failure' END AS reason, CAST(10 AS INTEGER) AS n_fields FROM expected WHERE fmt = 3"""))
 def extract_regex_ios(spark, sf_dir):
@@ -479,7 +480,7 @@ def processing_trace(spark, sf_dir):
 CAST(least(greatest(floor(score / 6.5), 1), 15) AS INTEGER) AS level,
 coalesce(threat_name, 'Perimeter firewall traffic: ' || e_disposition) AS description,
 CASE WHEN lower(coalesce(threat_name, '')) LIKE '%scan%' THEN 'T1046' ELSE 'T1071' END AS technique,
-'ulpf-' || replace(lower(vendor), ' ', '-') AS agent, CASE WHEN e_dport IS NULL THEN '' ELSE CAST(e_dport AS VARCHAR) END AS dstport,
+'rampart-' || replace(lower(vendor), ' ', '-') AS agent, CASE WHEN e_dport IS NULL THEN '' ELSE CAST(e_dport AS VARCHAR) END AS dstport,
 CAST(e_total AS VARCHAR) AS bytes, 'network-perimeter:' || parser_id AS location FROM risky"""))
 def export_siem(spark, sf_dir):
     alerts = events(spark, sf_dir).select("event_id", export.siem_alert(risk.risk_score()).alias("a"))

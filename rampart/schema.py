@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # Lineage constants of an event.
-DEFAULT_COLLECTOR = "ulpf-default-collector"
+DEFAULT_COLLECTOR = "default-collector"
 SCHEMA_VERSION = "ocsf-1.2.0-network"
 
 _ENDPOINT = (
