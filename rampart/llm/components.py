@@ -8,6 +8,7 @@ grows and a lost executor costs a step.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,3 +79,20 @@ def _state(links: DataFrame) -> tuple[int, int, int]:
     """Count and two hash sums: equal when a step changed nothing."""
     total = F.count("*"), *(F.sum(F.xxhash64("u", "v", F.lit(i)).cast("decimal(38,0)")) for i in (1, 2))
     return tuple(int(x or 0) for x in links.agg(*total).first())
+
+
+def least_members(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of some links and the least node that each hangs together with: what one
+    task can say about its own links in a row per node."""
+    nodes, places = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = places[: len(u)], places[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        least = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if (new == root).all():
+            return nodes, nodes[root]
+        root = new

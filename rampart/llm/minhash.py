@@ -7,13 +7,15 @@ in lower case.  Documents link if their sets' Jaccard similarity reaches the thr
 1. Each document gets ``ROWS * BANDS`` minima under universal (multiply-shift) hashes, band
    keys, and a 128-bit fingerprint of its set.  Documents with equal sets are one node.
 2. Nodes that share a band key are in one bucket; buckets of one node are dropped.
-3. In two star rounds each bucket's nodes are held against the bucket's hub (another in
-   each round).  Candidates are verified on signatures with a wide margin, then on the full
-   sets; links join components.  Buckets within one component are done.
-4. All pairs of different components in the buckets that are left are candidates: in small
-   buckets by a join, in large ones block by block, where only pairs whose signatures pass
-   leave the task.  So every pair that shares a bucket is either in one component
-   already or verified; none is cut off.
+3. Each bucket's nodes are held against its hub: the node with the most company over all
+   its buckets, so the likeliest middle of a group of copies.  Candidates are verified on
+   signatures with a wide margin, then on the full sets; links join components.  Buckets
+   within one component are done.
+4. In a bucket that is left, every node outside the hub's component is compared with all
+   nodes of other components: in small buckets by a join, in large ones block by block,
+   signatures first, then exact set sizes by a matrix product.  A block returns the links
+   that hold its nodes together, not pairs.  So every pair that shares a bucket is either
+   in one component already or verified; none is cut off.
 
 The chance that a pair at similarity 0.85 shares no bucket is (1 - 0.85^6)^32 < 1e-6, at
 0.8 below 1e-4.
@@ -32,20 +34,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rampart.llm.common import WORD, slices, staged
-from rampart.llm.components import attach, components
+from rampart.llm.components import attach, components, least_members
 from rampart.llm.urls import UPPER
 
 WORDS, PERCENT = 5, 80
 ROWS, BANDS = 6, 32
-STAR_ROUNDS = 2
 # Signatures estimate a similarity to within this, but for a chance below 1e-6.
-MARGIN = 0.16
+MARGIN = 0.14
 SMALL_BUCKET = 32
-BLOCK = 256
+LEFT_BLOCK, RIGHT_BLOCK = 256, 1024
+_COLUMNS = 8_192
 MEMORY = 500_000
 _SLICE = 400_000
 _WORD = re.compile(WORD)
@@ -162,7 +164,8 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                 for i, s in enumerate(sets):
                     if len(s):
                         row, keys[i] = next(own)
-                        blobs[i] = row.tobytes()
+                        # 16 bits of a minimum tell sets apart well enough to estimate.
+                        blobs[i] = row.astype(np.uint16).tobytes()
                 node, other = zip(*map(_identity, sets))
                 columns = [
                     batch.column("doc_id").slice(first, len(texts)), pa.array(node), pa.array(other),
@@ -213,7 +216,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             good = []
             columns = [batch.column(c) for c in ("u_sig", "v_sig", "u_set", "v_set")]
             for i in range(batch.num_rows):
-                us, vs, a, b = (np.frombuffer(c[i].as_buffer(), np.uint32 if k < 2 else np.uint64) for k, c in enumerate(columns))
+                us, vs, a, b = (np.frombuffer(c[i].as_buffer(), np.uint16 if k < 2 else np.uint64) for k, c in enumerate(columns))
                 if 100 * ((us == vs).mean() + MARGIN) < percent:
                     continue
                 same = len(a) + len(b) - len(np.union1d(a, b))
@@ -229,52 +232,80 @@ def _pairs(left: str, right: str) -> list:
     return [F.greatest(left, right).alias("u"), F.least(left, right).alias("v")]
 
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return members.select("key", "node", F.col("node").alias("label"))
-    found = members.select("key", "node").join(labels, "node", "left")
-    return found.select("key", "node", F.coalesce("component", "node").alias("label"))
+def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links in large buckets (key, node, label, hub_label, others, n_rows).
 
+    Nodes outside the hub's component are dealt to left blocks, all nodes to right blocks;
+    each pair of blocks is a unit of bounded size.
+    """
+    other = F.col("label") != F.col("hub_label")
+    of_left = F.ceil(F.col("others") / F.lit(LEFT_BLOCK)).cast("int")
+    of_right = F.ceil(F.col("n_rows") / F.lit(RIGHT_BLOCK)).cast("int")
 
-def _open_buckets(members: DataFrame, turn: int) -> DataFrame:
-    """Buckets with more than one label: size and hub (a node and its label)."""
-    hub = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label")).alias("hub")
-    found = members.groupBy("key").agg(
-        F.count("*").alias("n_rows"), F.min("label").alias("low"), F.max("label").alias("high"), hub
-    )
-    return found.where("low <> high").select("key", "n_rows", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label"))
-
+    def deal(count: Column) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit(9)), count).cast("int")
 
-def _block_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different labels in large buckets (key, node, label, n_rows).
+    def every(count: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), count - 1))
 
-    A bucket's nodes are dealt to blocks of about ``BLOCK``; each pair of blocks is compared
-    by itself, and only pairs whose signatures pass leave it.
-    """
-    blocks = F.ceil(F.col("n_rows") / F.lit(BLOCK)).cast("int")
-    dealt = members.withColumn("_of", blocks).withColumn("_own", F.pmod(F.xxhash64("node", F.lit(9)), F.col("_of")).cast("int"))
-    unit = F.explode(F.sequence(F.lit(0), F.col("_of") - 1)).alias("_with")
-    spread = dealt.select("key", "node", "label", "_own", unit).select(
-        "key", "node", "label", "_own", F.least("_own", "_with").alias("_i"), F.greatest("_own", "_with").alias("_j")
+    left = members.where(other).select(
+        "key", "node", "label", F.lit(True).alias("is_left"), deal(of_left).alias("i"), every(of_right).alias("j")
+    )
+    right = members.select(
+        "key", "node", "label", F.lit(False).alias("is_left"), every(of_left).alias("i"), deal(of_right).alias("j")
     )
-    rows = spread.join(sets.select("node", "signature"), "node")
+    rows = left.union(right).join(sets, "node")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("node")
-        marks = np.stack([np.frombuffer(x, np.uint32) for x in frame["signature"]])
-        nodes, labels, own = frame["node"].to_numpy(), frame["label"].to_numpy(), frame["_own"].to_numpy()
-        i, j = frame["_i"].iloc[0], frame["_j"].iloc[0]
-        least = (percent / 100 - MARGIN) * marks.shape[1]
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        out_u, out_v = [], []
-        for a in left:
-            good = right[((marks[right] == marks[a]).sum(axis=1) >= least) & (labels[right] != labels[a])]
-            out_u.append(np.full(len(good), nodes[a]))
-            out_v.append(nodes[good])
-        u, v = np.concatenate(out_u or [nodes[:0]]), np.concatenate(out_v or [nodes[:0]])
-        return pd.DataFrame({"u": np.maximum(u, v), "v": np.minimum(u, v)})
-
-    return rows.groupBy("key", "_i", "_j").applyInPandas(compare, "u long, v long")
+        a, b = (frame[frame["is_left"] == side].reset_index(drop=True) for side in (True, False))
+        none = pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
+        if not len(a) or not len(b):
+            return none
+        ms, ns = (np.stack([np.frombuffer(x, np.uint16) for x in f["signature"]]) for f in (a, b))
+        least = (percent / 100 - MARGIN) * ms.shape[1]
+        maybe = np.stack([(ns == m).sum(axis=1) >= least for m in ms])
+        maybe &= a["label"].to_numpy()[:, None] != b["label"].to_numpy()[None]
+        rows, columns = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
+        if not len(rows):
+            return none
+        xs = [np.frombuffer(a["shingles"][i], np.uint64) for i in rows]
+        ys = [np.frombuffer(b["shingles"][i], np.uint64) for i in columns]
+        same = _intersections(xs, ys)
+        total = np.array([len(x) for x in xs])[:, None] + np.array([len(y) for y in ys])[None]
+        linked = maybe[np.ix_(rows, columns)] & (100 * same >= percent * (total - same))
+        i, j = np.nonzero(linked)
+        if not len(i):
+            return none
+        nodes, roots = least_members(a["node"].to_numpy()[rows[i]], b["node"].to_numpy()[columns[j]])
+        return pd.DataFrame({"u": nodes, "v": roots})
+
+    return rows.groupBy("key", "i", "j").applyInPandas(compare, "u long, v long").where("u <> v")
+
+
+def _intersections(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``xs`` (rows) and ``ys`` (columns)."""
+    shared = np.intersect1d(np.concatenate(xs), np.concatenate(ys))
+
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        flat = np.concatenate(sets)
+        at = np.searchsorted(shared, flat)
+        there = shared[np.minimum(at, len(shared) - 1)] == flat
+        return np.repeat(np.arange(len(sets)), [len(s) for s in sets])[there], at[there]
+
+    out = np.zeros((len(xs), len(ys)), np.int64)
+    if not len(shared):
+        return out
+    (xr, xc), (yr, yc) = places(xs), places(ys)
+    for start in range(0, len(shared), _COLUMNS):
+        width = min(_COLUMNS, len(shared) - start)
+        part = []
+        for count, r, c in ((len(xs), xr, xc), (len(ys), yr, yc)):
+            mine = (c >= start) & (c < start + width)
+            dense = np.zeros((count, width), np.float32)
+            dense[r[mine], c[mine] - start] = 1
+            part.append(dense)
+        out += (part[0] @ part[1].T).astype(np.int64)
+    return out
 
 
 def link_nodes(docs: DataFrame, signed: DataFrame, *, words: int, percent: int) -> DataFrame | None:
@@ -282,43 +313,44 @@ def link_nodes(docs: DataFrame, signed: DataFrame, *, words: int, percent: int)
     distinct = signed.where("n_shingles > 0").select("doc_id", "node", "signature", "bands").dropDuplicates(["node"])
     nodes = staged(distinct, "nodes")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
-    total = BANDS * nodes.count()
     shared = keyed.groupBy("key").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
-    members = staged(attach(keyed, shared, "key", total), "buckets")
-    size = members.count()
+    shared = shared.withColumn("bucket_rows", F.col("n_rows"))
+    buckets = staged(attach(keyed, shared, "key", BANDS * nodes.count()), "buckets")
+    size = buckets.count()
     if not size:
         return None
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("doc_id", "node", "signature")
+    weights = buckets.groupBy("node").agg(F.sum("bucket_rows").alias("weight"))
+    members = staged(buckets.join(weights, "node"), "members")
+    wanted = nodes.join(weights, "node", "left_semi").select("doc_id", "node", "signature")
     sets = staged(_node_sets(docs, wanted, words), "sets")
-    links, tested, labels = [], None, None
-    for turn in range(STAR_ROUNDS):
-        marked = _labelled(members, labels)
-        if turn:
-            marked = staged(marked, "marked")
-        held = attach(marked, _open_buckets(marked, turn), "key", size).where("label <> hub_label")
-        pairs = held.select(*_pairs("node", "hub")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        links.append(staged(_verified(pairs, sets, percent), "verified"))
-        tested = pairs if tested is None else tested.union(pairs)
-        labels = staged(components(_all(links)), "labels")
-    marked = staged(_labelled(members, labels), "marked")
-    left = staged(attach(marked, _open_buckets(marked, 0).select("key", "n_rows", F.col("n_rows").alias("bucket_rows")), "key", size), "left")
-    small = left.where(F.col("bucket_rows") <= SMALL_BUCKET)
-    other = small.select("key", F.col("node").alias("node2"), F.col("label").alias("label2"))
-    near = small.join(other, "key").where("node > node2 AND label <> label2").select(*_pairs("node", "node2"))
-    large = left.where(F.col("bucket_rows") > SMALL_BUCKET).withColumnRenamed("bucket_rows", "n_rows")
-    pairs = near.union(_block_pairs(large, sets, percent)).distinct().join(tested, ["u", "v"], "left_anti")
-    links.append(staged(_verified(pairs, sets, percent), "verified"))
-    return staged(components(_all(links)), "labels")
-
 
-def _all(frames: list[DataFrame]) -> DataFrame:
-    found = frames[0]
-    for frame in frames[1:]:
-        found = found.union(frame)
-    return found
+    middle = F.max(F.struct("weight", "node"))["node"].alias("hub")
+    hubs = members.groupBy("key").agg(F.count("*").alias("n_rows"), middle)
+    pairs = staged(attach(members, hubs, "key", size).where("node <> hub").select(*_pairs("node", "hub")).distinct(), "pairs")
+    labels = staged(components(staged(_verified(pairs, sets, percent), "verified")), "labels")
+
+    found = members.join(labels, "node", "left").select("key", "node", "weight", F.coalesce("component", "node").alias("label"))
+    marked = staged(found, "marked")
+    top = F.max(F.struct("weight", "node", "label"))["label"].alias("hub_label")
+    open_ = marked.groupBy("key").agg(F.count("*").alias("n_rows"), F.min("label").alias("low"), F.max("label").alias("high"), top)
+    open_ = open_.where("low <> high").select("key", "n_rows", F.col("n_rows").alias("bucket_rows"), "hub_label")
+    left = staged(attach(marked, open_, "key", size), "left")
+    small = left.where(F.col("bucket_rows") <= SMALL_BUCKET).select("key", "node", "label")
+    other = small.select("key", F.col("node").alias("node2"), F.col("label").alias("label2"))
+    near = small.join(other, "key").where("node > node2 AND label <> label2").select(*_pairs("node", "node2")).distinct()
+    links = _verified(near.join(pairs, ["u", "v"], "left_anti"), sets, percent)
+    large = left.where(F.col("bucket_rows") > SMALL_BUCKET)
+    others = large.groupBy("key").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("label") != F.col("hub_label")).alias("others")
+    )
+    others = others.select("*", F.col("n_rows").alias("bucket"))
+    large = attach(large.drop("bucket_rows"), others, "key", size).withColumnRenamed("bucket", "n_rows")
+    links = staged(links.union(_block_links(large, sets, percent)), "more-links")
+    if links.isEmpty():
+        return labels
+    # What hangs together already is a star, so old links need not be looked at again.
+    stars = labels.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    return staged(components(links.union(stars)), "labels")
 
 
 def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rampart.llm.common import staged, staged_twice
-from rampart.llm.components import attach, components
+from rampart.llm.components import attach, components, least_members
 
 SAMPLE = 8_192
 LIST_ROWS = 1_024
@@ -111,22 +111,6 @@ class Quantiser:
         return np.sqrt(np.maximum(total, 0))
 
 
-def _roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes of the links and the least node that each hangs together with."""
-    nodes, places = np.unique(np.concatenate([u, v]), return_inverse=True)
-    a, b = places[: len(u)], places[len(u) :]
-    root = np.arange(len(nodes))
-    while True:
-        least = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, least)
-        np.minimum.at(new, b, least)
-        new = new[new]
-        if (new == root).all():
-            return nodes, nodes[root]
-        root = new
-
-
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in column])
 
@@ -248,7 +232,7 @@ def _linked(nodes: DataFrame, model, threshold: float, radius: float) -> DataFra
         u, v, n = np.concatenate(us), np.concatenate(vs), np.concatenate(ns)
         if not len(u):
             return empty
-        every_node, roots = _roots(u, v)
+        every_node, roots = least_members(u, v)
         links = np.bincount(np.searchsorted(every_node, u), n, minlength=len(every_node)).astype(np.int64)
         return pd.DataFrame({"node": every_node, "links": links, "root": roots})
 

@@ -90,8 +90,9 @@ def test_near_duplicates_equal_brute_force(spark, odd_docs, prose, words, percen
 
 def test_large_buckets_are_compared_in_blocks(spark, prose, monkeypatch):
     monkeypatch.setattr(minhash, "SMALL_BUCKET", 3)
-    monkeypatch.setattr(minhash, "BLOCK", 4)
-    monkeypatch.setattr(minhash, "STAR_ROUNDS", 1)
+    monkeypatch.setattr(minhash, "LEFT_BLOCK", 4)
+    monkeypatch.setattr(minhash, "RIGHT_BLOCK", 9)
+    monkeypatch.setattr(minhash, "_COLUMNS", 50)
     document, near = prose
     base = document(60)
     rows = [(i, " ".join(near(base, 5))) for i in range(120)]
