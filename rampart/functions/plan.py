@@ -28,16 +28,3 @@ def evaluate_once(df: DataFrame) -> DataFrame:
     """
     part = df.select("*", F.expr(in_small_methods("spark_partition_id()")).alias("_part"))
     return part.where("_part >= 0").drop("_part")
-
-
-def too_few_tasks(df: DataFrame) -> bool:
-    """Would fewer tasks than cores read this (static) input?"""
-    return df._jdf.rdd().getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute an input that arrives in too few pieces, such as one file that
-    cannot be split.  Inputs with enough pieces are left alone."""
-    if not too_few_tasks(df):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rampart.functions import net
 from rampart.functions.plan import evaluate_once
 from rampart.functions.text import literal
-from rampart.operators.lookup import attach, fits_broadcast
+from rampart.operators.lookup import attach, prepared
 
 # Threat indicators shipped with the engine.
 INDICATORS = [
@@ -105,8 +105,14 @@ def place_index(table: DataFrame) -> PlaceIndex:
         )
 
     is_wide = (F.col("hi") - F.col("lo")) >= 65535
-    wide, narrow = blocks(ranges.where(is_wide), 16), blocks(ranges.where(~is_wide), 8)
-    return PlaceIndex(wide, narrow, fits_broadcast(wide), fits_broadcast(narrow))
+    # Ranges that are no CIDR network could pile up in a block without bound.
+    size = F.col("hi") - F.col("lo") + 1
+    odd = ranges.where((F.col("lo") > F.col("hi")) | (size.bitwiseAND(size - 1) != 0) | (F.col("lo") % size != 0)).limit(1).collect()
+    if odd:
+        raise ValueError(f"not a CIDR network: {odd[0].lo} to {odd[0].hi}")
+    wide, wide_fits = prepared(blocks(ranges.where(is_wide), 16))
+    narrow, narrow_fits = prepared(blocks(ranges.where(~is_wide), 8))
+    return PlaceIndex(wide, narrow, wide_fits, narrow_fits)
 
 
 def with_address(df: DataFrame, ip: str, prefix: str) -> DataFrame:
@@ -247,8 +253,7 @@ def with_indicator(df: DataFrame, indicators: DataFrame | None = None, *, mode:
         "confidence_score",
     )
     # One row per address: with repeats, the alphabetically first signature counts.
-    table = indicators.groupBy("ip").agg(F.min(hit).alias("hit"))
-    broadcast = fits_broadcast(table)
+    table, broadcast = prepared(indicators.groupBy("ip").agg(F.min(hit).alias("hit")))
     base = df.columns
     for side in ("src", "dst"):
         df = attach(

@@ -149,9 +149,16 @@ def forensic_bundle() -> Column:
     )
 
 
+def event_members() -> list[Column]:
+    """The members of a canonical event for JSON: times as ISO-8601 text in UTC with
+    microseconds, whatever the session's zone."""
+    lineage = F.col("lineage").withField("ingestion_timestamp", iso_text(F.col("lineage.ingestion_timestamp")))
+    return [lineage.alias("lineage") if name == "lineage" else F.col(name) for name in EVENT_COLUMNS]
+
+
 def native_json() -> Column:
     """The whole canonical event as JSON text."""
-    return F.to_json(F.struct(*EVENT_COLUMNS), _JSON)
+    return F.to_json(F.struct(*event_members()), _JSON)
 
 
 def to_json_rows(events: DataFrame, layout: Column, name: str = "payload") -> DataFrame:

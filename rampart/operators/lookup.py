@@ -5,16 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup table with at most this many rows is sent to every executor.
-BROADCAST_ROWS = 200_000
+from rampart.functions.session import stored
+
+# A lookup table of at most this many bytes (its rows as JSON text) is sent to every
+# executor.
+BROADCAST_BYTES = 32 << 20
 # Beyond it, each key of the lookup table is repeated this often, so that one hot
 # key of the large side is spread over as many tasks.
 SALTS = 16
+_ROW_BYTES = 64
+
+
+def prepared(table: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """The table, computed once and stored in the shared folder, and whether its checked
+    size allows a broadcast."""
+    kept = stored(table, "lookup")
+    width = F.octet_length(F.to_json(F.struct(*kept.columns))) + F.lit(_ROW_BYTES)
+    size = kept.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return kept, size <= limit
 
 
-def fits_broadcast(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Check the size of a lookup table, reading no more than the limit."""
-    return table.limit(limit + 1).count() <= limit
+def _row_hash(df: DataFrame):
+    """A hash of a row's plain columns, to tell rows of one key apart."""
+    plain = [f.name for f in df.schema if "<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    return F.xxhash64(*plain)
 
 
 def attach(
@@ -28,15 +42,17 @@ def attach(
 ) -> DataFrame:
     """Add ``payload`` of the row of ``table`` whose ``table_key`` equals ``key``.
 
-    ``broadcast`` comes from :func:`fits_broadcast`, or from a table of fixed size.
-    The other way is a shuffle join with salted keys: rows of a hot key (or of the
-    NULL key) go to different tasks, and every row is kept.
+    ``broadcast`` comes from :func:`prepared`, or from a table of fixed size.  The other
+    way is a shuffle join with salted keys: rows of a hot key go to ``SALTS`` tasks by a
+    hash of the row, rows without a key to any task, and every row is kept.
     """
     side = table.select(F.col(table_key).alias("_key"), F.col(payload))
     if broadcast:
         joined = df.join(F.broadcast(side), df[key] == side["_key"], "left")
         return joined.drop("_key")
-    left = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    right = side.withColumn("_side_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    row = _row_hash(df)
+    salt = F.when(F.col(key).isNull(), row).otherwise(F.pmod(row, F.lit(SALTS)))
+    left = df.withColumn("_salt", salt)
+    right = side.withColumn("_side_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     same = (left[key] == right["_key"]) & (left["_salt"] == right["_side_salt"])
     return left.join(right, same, "left").drop("_key", "_salt", "_side_salt")

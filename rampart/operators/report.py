@@ -68,9 +68,14 @@ def unmapped_report(events: DataFrame) -> DataFrame:
     )
 
 
-def column_percentiles(df: DataFrame, column: str, *, accuracy: int = 10_000) -> DataFrame:
-    """50th, 95th and 99th percentile of a numeric column from a mergeable sketch."""
-    at = F.percentile_approx(column, [0.5, 0.95, 0.99], accuracy)
+def column_percentiles(df: DataFrame, column: str, *, accuracy: int | None = 10_000) -> DataFrame:
+    """50th, 95th and 99th percentile of a numeric column.
+
+    With an ``accuracy`` from a mergeable sketch of bounded size; with None exactly, from
+    counts of the distinct values (linear between neighbours).
+    """
+    wanted = [0.5, 0.95, 0.99]
+    at = F.percentile(column, F.array(*map(F.lit, wanted))) if accuracy is None else F.percentile_approx(column, wanted, accuracy)
     return df.agg(at.alias("p")).select(
         F.col("p")[0].alias("p50"), F.col("p")[1].alias("p95"), F.col("p")[2].alias("p99")
     )

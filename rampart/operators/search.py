@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def search_events(
     table: DataFrame, where: str | Column = "true", args: dict | None = None, limit: int = 50
 ) -> DataFrame:
-    """The newest rows that meet a condition.
+    """The newest rows that meet a condition; of equal times the greatest event id first.
 
     ``args`` are values for named markers (``:name``) in the condition; they are
     bound, not pasted.  Sort and limit become one top-k per task and a merge.
@@ -19,7 +19,7 @@ def search_events(
         found = spark.sql(f"SELECT * FROM {{events}} WHERE {where}", args=args, events=table)
     else:
         found = table.where(where)
-    return found.orderBy(F.col("ingestion_timestamp").desc()).limit(limit)
+    return found.orderBy(F.col("ingestion_timestamp").desc(), F.col("event_id").desc()).limit(limit)
 
 
 def events_of_vendor(table: DataFrame, vendor: str | None = None, limit: int = 50) -> DataFrame:

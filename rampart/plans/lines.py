@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rampart.functions.plan import evaluate_once, spread
+from rampart.functions.plan import evaluate_once
 
 
 def _s(expr: str) -> str:
@@ -130,10 +130,14 @@ def with_lines(events: DataFrame) -> DataFrame:
     return evaluate_once(seeded.select("event_id", F.expr(LINE).alias("raw_event")))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Parsing is by far the heaviest part, so it should not run in one task.
+def lines(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """Event ids with their log line.
+
+    ``tasks`` redistributes the events first: parsing is by far the heaviest part, and a
+    small table is one file that cannot be split.
+    """
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    return with_lines(spread(events, "event_id"))
+    return with_lines(events.repartition(tasks, "event_id") if tasks else events)
 
 
 # The same lines for DuckDB: ``seed`` has every seed column, ``line`` and the keys.

@@ -7,14 +7,15 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable, Mapping
+from inspect import signature
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rampart.functions.session import fixed, fresh_path
-from rampart.operators.export import forensic_rows, lake_rows, native_json
+from rampart.functions.session import fresh_path, remove
+from rampart.operators.export import event_members, forensic_rows, lake_rows, native_json
 from rampart.operators.features import feature_matrix
-from rampart.schema import EVENT_COLUMNS, FORENSIC_COLUMNS
+from rampart.schema import FORENSIC_COLUMNS
 
 # The forensic table is split by event id, so that an upsert touches whole parts.
 FORENSIC_BUCKETS = 64
@@ -35,7 +36,7 @@ def write_lake(events: DataFrame, path: str, *, batch_size: int | None = None, m
 
 def write_jsonl(events: DataFrame, path: str, *, mode: str = "append") -> None:
     """Append full nested events as JSON lines, NULL members included."""
-    events.select(*EVENT_COLUMNS).write.mode(mode).option("ignoreNullFields", "false").json(path)
+    events.select(*event_members()).write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def write_features(events: DataFrame, path: str, *, mode: str = "append") -> None:
@@ -73,13 +74,18 @@ def upsert_forensic(events: DataFrame, path: str, *, fresh_ids: bool = False) ->
 
     Only the buckets of the batch are rewritten: their new content goes to a fresh
     folder first, then replaces them, so the table is never read and overwritten at
-    once and a lost job can be repeated.  ``fresh_ids`` says that no id of the batch
-    is in the table yet, which makes it a plain append.
+    once and a lost job can be repeated.  ``fresh_ids`` says that the ids of the batch
+    are distinct and not in the table yet, which makes it a plain append.
     """
     spark = events.sparkSession
     bucket = F.pmod(F.xxhash64("event_id"), F.lit(FORENSIC_BUCKETS)).cast("int").alias("id_bucket")
-    batch = newest_per_id(forensic_rows(events)).select("*", bucket)
-    if fresh_ids or not _exists(spark, path):
+    rows = forensic_rows(events)
+    if fresh_ids:
+        # Nothing to replace and nothing repeated: no shuffle.
+        rows.select("*", bucket).write.mode("append").partitionBy("id_bucket").parquet(path)
+        return
+    batch = newest_per_id(rows).select("*", bucket)
+    if not _exists(spark, path):
         batch.write.mode("append").partitionBy("id_bucket").parquet(path)
         return
     staged_batch = fresh_path(spark, "forensic-batch")
@@ -104,6 +110,8 @@ def upsert_forensic(events: DataFrame, path: str, *, fresh_ids: bool = False) ->
         .partitionBy("id_bucket")
         .parquet(path)
     )
+    remove(spark, staged)
+    remove(spark, staged_batch)
 
 
 def read_forensic(spark: SparkSession, path: str) -> DataFrame:
@@ -115,18 +123,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def fan_out(events: DataFrame, sinks: Mapping[str, Callable[[DataFrame], object]]) -> dict[str, str | None]:
+def per_batch(path: str, batch_id: int) -> str:
+    """The folder of one micro-batch in a table; a sink that overwrites it may be called
+    again for the same batch."""
+    return f"{path}/batch_id={batch_id}"
+
+
+def fan_out(
+    events: DataFrame, sinks: Mapping[str, Callable[..., object]], batch_id: int | None = None
+) -> dict[str, str | None]:
     """Send the same events to several sinks; one failing does not stop the others.
 
-    Returns the error text per sink, None where it worked.
+    The events (random ids included) are stored once for all sinks, which so read only
+    the columns they need, and removed in the end.  A sink takes the events and, if it
+    has a second parameter, the number of the micro-batch.  Returns the error text per
+    sink, None where it worked.
     """
-    events = fixed(events)
+    spark = events.sparkSession
+    path = fresh_path(spark, "fan-out")
+    events.write.parquet(path)
+    events = spark.read.schema(events.schema).parquet(path)
     outcome: dict[str, str | None] = {}
     for name, sink in sinks.items():
         try:
-            sink(events)
+            sink(events, batch_id) if len(signature(sink).parameters) > 1 else sink(events)
             outcome[name] = None
         except Exception as problem:  # noqa: BLE001 - isolation of sinks is the point
             warnings.warn(f"sink {name} failed: {problem}", stacklevel=2)
             outcome[name] = str(problem)
+    remove(spark, path)
     return outcome

@@ -48,11 +48,12 @@ def lines_from(df: DataFrame, column: str) -> DataFrame:
     return df.select(strip(F.col(column)).alias("raw_event")).where("raw_event <> ''")
 
 
-def split_datagrams(df: DataFrame, column: str = "value") -> DataFrame:
-    """Binary syslog payloads (a Kafka value, a captured datagram) to lines."""
+def split_datagrams(df: DataFrame, column: str = "value", *, keep: list[str] | None = None) -> DataFrame:
+    """Binary syslog payloads (a Kafka value, a captured datagram) to lines, with the
+    ``keep`` columns of their payload."""
     text = F.make_valid_utf8(F.col(column).cast("string"))
-    parts = df.select(F.explode(F.split(text, LINE_ENDS)).alias("line"))
-    return parts.select(strip(F.col("line")).alias("raw_event")).where("raw_event <> ''")
+    parts = df.select(*(keep or []), F.explode(F.split(text, LINE_ENDS)).alias("raw_event"))
+    return parts.withColumn("raw_event", strip(F.col("raw_event"))).where("raw_event <> ''")
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:

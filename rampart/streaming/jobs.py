@@ -43,15 +43,20 @@ def running_counts(events: DataFrame) -> DataFrame:
 
 def stream_to_sinks(
     lines: DataFrame,
-    sinks: Mapping[str, Callable[[DataFrame], object]],
+    sinks: Mapping[str, Callable[..., object]],
     checkpoint: str,
     *,
     specs_dir: str | None = None,
     once: bool = False,
+    on_batch: Callable[[int, dict[str, str | None]], object] | None = None,
     **options,
 ) -> StreamingQuery:
     """Normalize each micro-batch and send it to several sinks.
 
+    A sink with a second parameter gets the number of the batch, so that it can replace
+    what an interrupted attempt at the same batch has left (``per_batch``).  ``on_batch``
+    is told the outcome of each batch per sink.
+
     With ``specs_dir`` the specs of that folder are read again for every batch, on
     top of those known before, so a new parser takes effect without a restart.
     """
@@ -60,7 +65,9 @@ def stream_to_sinks(
     def process(batch: DataFrame, batch_id: int) -> None:
         if specs_dir:
             specs.load(specs_dir)
-        fan_out(normalize(batch, specs=specs, **options), sinks)
+        outcome = fan_out(normalize(batch, specs=specs, **options), sinks, batch_id)
+        if on_batch:
+            on_batch(batch_id, outcome)
 
     writer = lines.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return _start(writer, once)
