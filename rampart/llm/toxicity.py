@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from rampart.llm.common import WORD, slices
 
-TRAIN_ROWS = 2_000
+TRAIN_ROWS = 1_500
 FEATURE_BITS = 18
 PREFIXES = (4, 5, 6)
 CHAIN = 64
@@ -104,6 +104,28 @@ def forward_backward(emit: np.ndarray, transition: np.ndarray) -> tuple[np.ndarr
     return np.log(ahead) + np.log(back), np.log(ahead)
 
 
+def _marginals(emit: np.ndarray, counts: np.ndarray, transition: np.ndarray) -> np.ndarray:
+    """Marginal log-odds of tokens, document after document, from their own log-odds."""
+    cells, rows = _chains(counts)
+    # Cells after the end of a document are surely clean.
+    table = np.full(rows * CHAIN, -FAR)
+    table[cells] = emit
+    marginal, _ = forward_backward(table.reshape(rows, CHAIN), transition)
+    return np.clip(marginal.reshape(-1)[cells], -FAR, FAR)
+
+
+def _measures(odds: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Per document 1, the greatest log-odds, log(1 + expected toxic tokens) and
+    log(1 + tokens), of similar size each."""
+    top, expected = np.full(len(counts), -FAR), np.zeros(len(counts))
+    filled = np.flatnonzero(counts)
+    if len(filled):
+        begins = (np.cumsum(counts) - counts)[filled]
+        top[filled] = np.maximum.reduceat(odds, begins)
+        expected[filled] = np.add.reduceat(1 / (1 + np.exp(-odds)), begins)
+    return np.stack([np.ones(len(top)), top / 5, np.log1p(expected), np.log1p(counts) / 3], 1)
+
+
 class ToxicityModel:
     def __init__(self, weights: np.ndarray, bias: float, transition: np.ndarray, curve: list[float] | None) -> None:
         self.weights, self.bias, self.transition, self.curve = weights, bias, transition, curve
@@ -123,26 +145,13 @@ class ToxicityModel:
         places = self._words.of(documents)
         new = self._words.features[len(self._emit) :]
         self._emit = np.append(self._emit, self.bias + self.weights[new].sum(axis=1))
-        cells, rows = _chains(np.array([len(x) for x in documents], np.int64))
-        # Cells after the end of a document are surely clean.
-        table = np.full(rows * CHAIN, -FAR)
-        table[cells] = self._emit[places]
-        marginal, _ = forward_backward(table.reshape(rows, CHAIN), self.transition)
-        return np.clip(marginal.reshape(-1)[cells], -FAR, FAR)
+        counts = np.array([len(x) for x in documents], np.int64)
+        return _marginals(self._emit[places], counts, self.transition)
 
     def measures(self, documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Per document 1, the greatest log-odds, log(1 + expected toxic tokens) and
-        log(1 + tokens), of similar size each; and all odds."""
+        """What the score of each document depends on, and all odds."""
         odds = self.odds(documents)
-        counts = np.array([len(x) for x in documents], np.int64)
-        stops = np.cumsum(counts)
-        top, expected = np.full(len(documents), -FAR), np.zeros(len(documents))
-        filled = np.flatnonzero(counts)
-        if len(filled):
-            begins = (stops - counts)[filled]
-            top[filled] = np.maximum.reduceat(odds, begins)
-            expected[filled] = np.add.reduceat(1 / (1 + np.exp(-odds)), begins)
-        return np.stack([np.ones(len(top)), top / 5, np.log1p(expected), np.log1p(counts) / 3], 1), odds
+        return _measures(odds, np.array([len(x) for x in documents], np.int64)), odds
 
     def score(self, measures: np.ndarray) -> np.ndarray:
         if self.curve is None:
@@ -150,27 +159,31 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(measures @ np.array(self.curve), -FAR, FAR)))
 
 
-def _telling(documents: list[list[str]], toxic: np.ndarray) -> np.ndarray:
-    """Which features are far more frequent in toxic documents than in clean ones."""
+def _telling(documents: list[np.ndarray], table: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Which features are far more frequent in toxic documents than in clean ones.
+
+    A document is the numbers of its words, ``table`` has the features of each number.
+    """
     size = 1 << FEATURE_BITS
     bad, good = np.zeros(size), np.zeros(size)
-    known = _Words()
-    for first in range(0, len(documents), 200):
-        part = [list(dict.fromkeys(words)) for words in documents[first : first + 200]]
-        places = known.of(part)
-        start = 0
-        for words, is_toxic in zip(part, toxic[first : first + 200]):
-            found = np.unique(known.features[places[start : start + len(words)]])
-            (bad if is_toxic else good)[found] += 1
-            start += len(words)
-        if len(known.number) > MEMORY:
-            known = _Words()
+    for words, is_toxic in zip(documents, toxic):
+        (bad if is_toxic else good)[np.unique(table[np.unique(words)])] += 1
     ratio = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((good + 0.5) / ((~toxic).sum() + 1))
     telling = (bad >= max(min(LEAST_DOCS, toxic.sum()), LEAST_SHARE * toxic.sum())) & (ratio >= LEAST_RATIO)
     telling[_NONE] = False
     return telling
 
 
+def _numbered(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The texts as numbers of their words, and the features of each number."""
+    known, documents = _Words(), []
+    for first in range(0, len(texts), 200):
+        part = [_WORD.findall(text) for text in texts[first : first + 200]]
+        codes = known.of(part).astype(np.int32)
+        documents += np.split(codes, np.cumsum([len(words) for words in part])[:-1])
+    return documents, known.features
+
+
 def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, chain_docs: int = TRAIN_ROWS) -> ToxicityModel:
     """Train on whole texts with document labels and the documents' weights; the field
     itself on the toxic ones and half of ``chain_docs`` clean ones."""
@@ -178,18 +191,16 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, chain_docs: int
     empty = ToxicityModel(np.zeros(size), 0.0, np.zeros((2, 2)), None)
     if not toxic.any() or toxic.all():
         return empty
-    everything = [_WORD.findall(text) for text in texts]
-    telling = _telling(everything, toxic)
+    everything, features_of = _numbered(texts)
+    telling = _telling(everything, features_of, toxic)
     used = np.flatnonzero(toxic | (np.cumsum(~toxic) <= chain_docs // 2))
-    documents = [everything[i] for i in used]
-    counts = np.array([len(x) for x in documents], np.int64)
-    known = _Words()
-    words = known.of(documents)
+    counts = np.array([len(everything[i]) for i in used], np.int64)
+    words = np.concatenate([everything[i] for i in used])
     if not len(words):
         return empty
-    labels = telling[known.features].any(axis=1)[words] & np.repeat(toxic[used], counts)
+    labels = telling[features_of].any(axis=1)[words] & np.repeat(toxic[used], counts)
     cells, rows = _chains(counts)
-    truth, real = np.zeros(rows * CHAIN), np.zeros(rows * CHAIN, bool)
+    truth, real = np.zeros(rows * CHAIN, bool), np.zeros(rows * CHAIN, bool)
     truth[cells], real[cells] = labels, True
     truth, real = truth.reshape(rows, CHAIN), real.reshape(rows, CHAIN)
     share = max(labels.mean(), 1e-6)
@@ -197,26 +208,17 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, chain_docs: int
     gain_w, gain_t, gain_b = np.full(size, 1e-4), np.full((2, 2), 1e-4), 1e-4
     # Pairs of neighbouring cells of one document, by their labels.
     both = real[:, :-1] & real[:, 1:]
-    left, right = truth[:, :-1][both], truth[:, 1:][both]
-    seen = np.array([[((1 - left) * (1 - right)).sum(), ((1 - left) * right).sum()], [(left * (1 - right)).sum(), (left * right).sum()]])
+    pairs = np.bincount((2 * truth[:, :-1] + truth[:, 1:])[both], minlength=4).reshape(2, 2)
     for _ in range(STEPS):
-        emit = bias + weights[known.features].sum(axis=1)
+        emit = bias + weights[features_of].sum(axis=1)
         table = np.full(rows * CHAIN, -FAR)
         table[cells] = emit[words]
         table = table.reshape(rows, CHAIN)
         marginal, ahead = forward_backward(table, transition)
-        p = 1 / (1 + np.exp(-marginal))
-        lack = (truth - p).reshape(-1)[cells]
-        by_word = np.bincount(words, lack, minlength=len(known.features))
-        grad_w = sum(np.bincount(column, by_word, minlength=size) for column in known.features.T) - 1e-3 * weights
-        # Expected pairs: forward at i, transition, emission and backward at i + 1.
-        f1 = 1 / (1 + np.exp(-ahead[:, :-1]))
-        after = marginal[:, 1:] - ahead[:, 1:] + np.clip(table[:, 1:], -FAR, FAR)
-        g = np.exp(np.clip(after, -3 * FAR, 3 * FAR))
-        t = np.exp(transition)
-        joint = np.stack([(1 - f1) * t[0, 0], (1 - f1) * t[0, 1] * g, f1 * t[1, 0], f1 * t[1, 1] * g])
-        joint /= joint.sum(axis=0)
-        grad_t = seen - (joint * both).sum(axis=(1, 2)).reshape(2, 2) - 1e-3 * transition
+        lack = (truth - 1 / (1 + np.exp(-marginal))).reshape(-1)[cells]
+        by_word = np.bincount(words, lack, minlength=len(features_of))
+        grad_w = sum(np.bincount(column, by_word, minlength=size) for column in features_of.T) - 1e-3 * weights
+        grad_t = pairs - _expected_pairs(table, marginal, ahead, transition, both) - 1e-3 * transition
         grad_b = lack.sum()
         gain_w += grad_w**2
         gain_t += grad_t**2
@@ -226,11 +228,31 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, chain_docs: int
         bias += 0.2 * grad_b / np.sqrt(gain_b)
     weights[_NONE] = 0.0
     model = ToxicityModel(np.round(weights, 6), round(float(bias), 6), np.round(transition, 6), None)
-    parts = [model.measures(everything[i : i + 500])[0] for i in range(0, len(everything), 500)]
+    emit = model.bias + model.weights[features_of].sum(axis=1)
+    parts = []
+    for first in range(0, len(everything), 500):
+        part = everything[first : first + 500]
+        sizes = np.array([len(x) for x in part], np.int64)
+        parts.append(_measures(_marginals(emit[np.concatenate(part)], sizes, model.transition), sizes))
     model.curve = _curve(np.concatenate(parts), toxic, weight)
     return model
 
 
+def _expected_pairs(table: np.ndarray, marginal: np.ndarray, ahead: np.ndarray, transition: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Expected label pairs of neighbouring cells: forward at i, transition, emission and
+    backward at i + 1; summed in slices of chains."""
+    total, t = np.zeros(4), np.exp(transition)
+    for first in range(0, len(table), 4096):
+        rows = slice(first, first + 4096)
+        f1 = 1 / (1 + np.exp(-ahead[rows, :-1]))
+        after = marginal[rows, 1:] - ahead[rows, 1:] + np.clip(table[rows, 1:], -FAR, FAR)
+        g = np.exp(np.clip(after, -3 * FAR, 3 * FAR))
+        joint = np.stack([(1 - f1) * t[0, 0], (1 - f1) * t[0, 1] * g, f1 * t[1, 0], f1 * t[1, 1] * g])
+        joint /= joint.sum(axis=0)
+        total += (joint * both[rows]).sum(axis=(1, 2))
+    return total.reshape(2, 2)
+
+
 def _curve(x: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> list[float]:
     """Weighted logistic regression with a ridge, by Newton steps."""
     w, ridge = np.zeros(x.shape[1]), np.diag([1e-3] + [1e-1] * (x.shape[1] - 1))
