@@ -18,6 +18,9 @@ SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The same for a character class of a Java pattern, whose own \s is ASCII only.
+SPACE_CLASS = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
 # What a decimal float may look like; try_cast alone also takes "1d" or "0x1p3".
 FLOAT_SYNTAX = (
     r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rampart.functions.plan import evaluate_once
-from rampart.functions.text import last_wins_map_sql, literal, string_array, strip_sql
+from rampart.functions.text import SPACE_CLASS, last_wins_map_sql, literal, string_array, strip_sql
 from rampart.specs import ParserSpec, SpecSet
 
 # Header layouts of the two vendor-neutral formats.
@@ -27,7 +27,7 @@ LEEF_KEYS = ["leef_version", "device_vendor", "device_product", "device_version"
 # another key character: the same pairs are found, but a long word without "="
 # is scanned once instead of once per letter.  (Java's \w is [a-zA-Z0-9_], and
 # several times faster than spelling that out.)
-KEY_VALUE = r"""(?<![\w.\-])([\w.\-]++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s,]++)"""
+KEY_VALUE = rf"""(?<![\w.\-])([\w.\-]++)[{SPACE_CLASS}]*+=[{SPACE_CLASS}]*+("[^"]*+"|'[^']*+'|[^{SPACE_CLASS},]++)"""
 
 MARK = "\x01"  # separates captured groups within one string
 
@@ -178,7 +178,9 @@ def json_root_sql(text: str) -> str:
 
     The parser ignores what follows the object.  Where a brace is followed by
     something that may not follow it, the text is parsed once more inside an array,
-    which makes trailing text an error.
+    which makes trailing text an error.  A text that the strict parser refuses is read
+    once more member by member: of repeated members the last counts, and bare NaN and
+    Infinity are texts.
     """
     trimmed = (
         f"CASE WHEN startswith({text}, '{{') AND endswith({text}, '}}') THEN {text}"
@@ -190,10 +192,20 @@ def json_root_sql(text: str) -> str:
     alone = "coalesce(size(try_variant_get(try_parse_json(concat('[', t, ']')), '$', 'array<variant>')) = 1, false)"
     return (
         f"get(transform(array({trimmed}), t ->"
-        f" CASE WHEN t RLIKE {odd} AND NOT {alone} THEN NULL ELSE try_parse_json(t) END), 0)"
+        f" CASE WHEN t RLIKE {odd} AND NOT {alone} THEN NULL"
+        f" ELSE coalesce(try_parse_json(t), {_lenient_object_sql('t')}) END), 0)"
     )
 
 
+def _lenient_object_sql(text: str) -> str:
+    """A JSON object with repeated members or bare NaN and Infinity, as a variant."""
+    nan, inf = (literal(rf'("\s*:\s*){word}(?=\s*[,}}])') for word in ("NaN", "(-?)Infinity"))
+    quoted = f"regexp_replace(regexp_replace({text}, {nan}, '$1\"nan\"'), {inf}, '$1\"$2inf\"')"
+    members = f"from_json({quoted}, 'map<string, variant>')"
+    merged = last_wins_map_sql("map_keys(m)", "map_values(m)")
+    return f"get(transform(array({members}), m -> CASE WHEN m IS NOT NULL THEN to_variant_object({merged}) END), 0)"
+
+
 def json_leaves_sql(root: str, text: str) -> str:
     """Leaves of a JSON object with dotted keys, as ``array<LEAF_DDL>``.
 

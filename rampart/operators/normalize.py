@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from rampart.functions import taxonomy
 from rampart.functions.plan import evaluate_once, in_small_methods
 from rampart.functions.text import (
+    last_wins_map_sql,
     literal,
     number_sql,
     string_map,
@@ -59,6 +60,15 @@ NUMBER_FIELDS = {
 }
 FIELDS = TEXT_FIELDS | NUMBER_FIELDS
 
+# Numbers from here on do not fit their column: the token stays in ``unmapped`` and the
+# event says so among its validation errors.
+LIMITS = {name: 2.0**31 if name.endswith("_port") else 2.0**63 for name in NUMBER_FIELDS.values()}
+
+# A JSON object of which nothing could be read (repeated members below the top level)
+# makes an event invalid; its raw text stays.
+NON_EMPTY_OBJECT = r"\{\s*+[^\s}]"
+UNREAD_JSON = "JSON object could not be read"
+
 # Fixed value: what makes an event invalid is a number too large to be finite.
 OVERFLOW_ERROR = "cannot convert float infinity to integer"
 
@@ -140,6 +150,7 @@ def with_source_values(df: DataFrame, specs: SpecSet) -> DataFrame:
         *df.columns,
         *[F.expr(text.format(f"k_{n}")).alias(f"v_{n}") for n in TEXT_FIELDS.values()],
         *[F.expr(f"fields[k_{n}]").alias(f"v_{n}") for n in NUMBER_FIELDS.values()],
+        *[f"k_{n}" for n in NUMBER_FIELDS.values()],
         F.expr(unmapped).alias("unmapped"),
     )
 
@@ -150,15 +161,31 @@ def with_typed_values(df: DataFrame, specs: SpecSet) -> DataFrame:
     A row with an infinite number keeps its raw text and hash, gets ``error`` and
     otherwise looks like an event about which nothing is known.
     """
-    base = [c for c in df.columns if not c.startswith("v_")]
+    base = [c for c in df.columns if not c.startswith(("v_", "k_"))]
     texts = [f"v_{n}" for n in TEXT_FIELDS.values()]
     numbers = [f"n_{n}" for n in NUMBER_FIELDS.values()]
+    tokens = [f"{part}_{n}" for part in "kv" for n in NUMBER_FIELDS.values()]
     df = df.select(
-        *base, *texts, *[F.expr(number_sql(f"v_{n}")).alias(f"n_{n}") for n in NUMBER_FIELDS.values()]
+        *base, *texts, *tokens, *[F.expr(number_sql(f"v_{n}")).alias(f"n_{n}") for n in NUMBER_FIELDS.values()]
     )
     infinite = " OR ".join(f"abs({n}) = double('Infinity')" for n in numbers)
     error = F.expr(f"CASE WHEN {infinite} THEN {literal(OVERFLOW_ERROR)} END").alias("error")
-    df = evaluate_once(df).select("*", error)
+    # Numbers too large for their column, as (field, token, text).
+    large = ", ".join(
+        f"CASE WHEN abs(n_{n}) >= double({limit!r}) THEN named_struct('field', {literal(n)}, 'k', k_{n}, 'v', v_{n}) END"
+        for n, limit in LIMITS.items()
+    )
+    df = evaluate_once(df).select("*", error, F.expr(f"array_compact(array({large}))").alias("_large"))
+    back = last_wins_map_sql(
+        "concat(map_keys(unmapped), transform(_large, e -> e.k))", "concat(map_values(unmapped), transform(_large, e -> e.v))"
+    )
+    kept_tokens = f"CASE WHEN error IS NOT NULL THEN map('parse_error', error) WHEN size(_large) = 0 THEN unmapped ELSE {back} END"
+    json_ids = ", ".join(map(literal, specs.ids("json"))) or "NULL"
+    unread = f"(parser_id IN ({json_ids}) AND size(fields) = 0 AND payload RLIKE {literal(NON_EMPTY_OBJECT)})"
+    notes = (
+        f"CASE WHEN error IS NOT NULL THEN array(error) WHEN {unread} THEN array({literal(UNREAD_JSON)})"
+        " ELSE transform(_large, e -> concat(e.field, ' out of range')) END"
+    )
 
     def valid(column: str) -> Column:
         return F.when(F.col("error").isNull(), F.col(column))
@@ -167,9 +194,13 @@ def with_typed_values(df: DataFrame, specs: SpecSet) -> DataFrame:
         *[c for c in base if c not in ("parser_id", "unmapped")],
         "error",
         F.coalesce(valid("parser_id"), F.lit("unknown")).alias("parser_id"),
-        F.expr("CASE WHEN error IS NULL THEN unmapped ELSE map('parse_error', error) END").alias("unmapped"),
+        F.expr(kept_tokens).alias("unmapped"),
+        F.expr(notes).alias("notes"),
         *[valid(t).alias(t) for t in texts],
-        *[F.expr(f"CASE WHEN error IS NULL THEN try_cast({n} AS BIGINT) END").alias(n) for n in numbers],
+        *[
+            F.expr(f"CASE WHEN error IS NULL AND abs(n_{n}) < double({limit!r}) THEN CAST(n_{n} AS BIGINT) END").alias(f"n_{n}")
+            for n, limit in LIMITS.items()
+        ],
     )
     df = evaluate_once(df)
     kept = [c for c in df.columns if c not in texts and c not in numbers]
@@ -300,10 +331,8 @@ def _as_event(df: DataFrame, collector_id: str, keep: list[str], details: bool)
             F.lit(SCHEMA_VERSION).alias("schema_version"),
             col("ingested_at").alias("ingestion_timestamp"),
             "event_timestamp",
-            col("error").isNull().alias("is_valid"),
-            F.expr("CASE WHEN error IS NULL THEN CAST(array() AS ARRAY<STRING>) ELSE array(error) END").alias(
-                "validation_errors"
-            ),
+            (col("error").isNull() & ~F.array_contains("notes", UNREAD_JSON)).alias("is_valid"),
+            col("notes").alias("validation_errors"),
         ),
         "product": F.struct(
             "vendor_name", "product_name", none.alias("product_version"), none.alias("feature")

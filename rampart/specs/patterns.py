@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from re import _constants as op
 from re import _parser as syntax
 
+from rampart.functions.text import SPACE_CLASS
+
 _JAVA_LACKS = re.compile(r"\(\?\(")  # conditional groups
 
 
@@ -49,13 +51,27 @@ def to_java(pattern: str) -> JavaPattern:
     )
 
 
+# Java's shorthands are ASCII only, Python's go by Unicode.  The first text is for use
+# outside of a character class, the second for inside.
+_SHORTHANDS = {
+    r"\s": (f"[{SPACE_CLASS}]", SPACE_CLASS),
+    r"\S": (f"[^{SPACE_CLASS}]", r"\S"),
+    r"\d": (r"\p{Nd}", r"\p{Nd}"),
+    r"\D": (r"\P{Nd}", r"\P{Nd}"),
+    r"\w": (r"[\p{L}\p{N}_]", r"\p{L}\p{N}_"),
+    r"\W": (r"[^\p{L}\p{N}_]", r"\W"),
+}
+
+
 def _escape_in_classes(pattern: str) -> str:
-    """Java reads ``[`` and ``&&`` inside a character class as set operators."""
+    """Java reads ``[`` and ``&&`` inside a character class as set operators, and its
+    shorthands know ASCII only."""
     out, inside, position = [], False, 0
     while position < len(pattern):
         char = pattern[position]
         if char == "\\":
-            out.append(pattern[position : position + 2])
+            pair = pattern[position : position + 2]
+            out.append(_SHORTHANDS.get(pair, (pair, pair))[inside])
             position += 2
             continue
         if not inside and char == "[":

@@ -3,6 +3,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from rampart import normalize, verify_integrity
 from rampart.operators import features, risk
@@ -108,6 +109,39 @@ def test_odd_numbers_and_addresses(events):
     assert event.unmapped == {"a": "1", "note": None}
 
 
+def test_nothing_is_lost_in_silence(spark):
+    rows = {
+        "big": "src_ip=1.2.3.4 dst_ip=10.0.0.1 src_port=70000 dst_port=9999999999 bytes_in=10000000000000000000 bytes_out=5 action=allow",
+        "space": "<13>src_ip=1.1.1.1\u3000dst_ip=2.2.2.2\x1cproto=udp action=deny x=1",
+        "repeated": '{"event_type":"dns","src_ip":"1.1.1.1","src_ip":"2.2.2.2","dest_ip":"3.3.3.3","n":7,"ok":true}',
+        "not a number": '{"event_type":"dns","src_ip":"1.1.1.1","score":NaN,"low":-Infinity, "deep":{"a":1}}',
+        "deep": '{"event_type":"dns","src_ip":"1.1.1.1","d":{"a":1,"a":2}}',
+    }
+    frame = spark.createDataFrame(list(rows.items()), "name string, raw_event string")
+    found = {r["name"]: r for r in normalize(frame, keep=["name"], details=True).collect()}
+    big = found["big"]
+    assert big.unmapped == {"dst_port": "9999999999", "bytes_in": "10000000000000000000"}
+    assert big.lineage.validation_errors == ["dst_port out of range", "bytes_in out of range"]
+    assert (big.src_endpoint.port, big.dst_endpoint.port, big.traffic.total_bytes) == (70000, None, 5)
+    space = found["space"]
+    assert (space.src_endpoint.ip, space.dst_endpoint.ip, space.connection_info.protocol_name) == ("1.1.1.1", "2.2.2.2", "UDP")
+    assert found["repeated"].src_endpoint.ip == "2.2.2.2" and found["repeated"].json_literals == {"n": "7", "ok": "true"}
+    assert found["not a number"].unmapped == {"event_type": "dns", "score": "nan", "low": "-inf", "deep.a": "1"}
+    deep = found["deep"].lineage
+    assert not deep.is_valid and deep.validation_errors == ["JSON object could not be read"]
+    assert all(r.lineage.is_valid for name, r in found.items() if name != "deep")
+
+
+def test_json_times_are_utc_text(spark):
+    import json
+
+    from rampart.operators.export import native_json
+
+    frame = spark.createDataFrame([("x=1",)], "raw_event string").selectExpr("*", "timestamp'2026-01-02T03:04:05.123456Z' AS at")
+    row = normalize(frame, ingested_at=F.col("at")).select(native_json().alias("j")).first()
+    assert json.loads(row.j)["lineage"]["ingestion_timestamp"] == "2026-01-02T03:04:05.123456+00:00"
+
+
 def test_lines_without_a_spec(events):
     assert events["ftd"].lineage.parser_id == "cisco_asa" and events["ftd"].fields == {}
     assert events["snort"].lineage.parser_id == "snort_fast"

@@ -34,6 +34,28 @@ def test_attach_keeps_every_row(spark, broadcast):
     assert counts == {1: 1000, 2: 1, None: 1999}
 
 
+def test_rows_without_a_key_fill_all_partitions(spark):
+    facts = spark.range(20_000).select("id", F.nullif((F.col("id") % 1).cast("string"), F.lit("0")).alias("k"))
+    table = spark.createDataFrame([("hot", 1)], "key string, p int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = lookup.attach(facts, table, "k", "key", "p", broadcast=False)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(sizes) == 40 and max(sizes) < 3 * 20_000 / 40
+
+
+def test_ranges_that_are_no_network_are_refused(spark):
+    odd = spark.createDataFrame([(0, 5, 9, "A", "a", "1")], enrich.PLACE_DDL)
+    with pytest.raises(ValueError):
+        enrich.place_index(odd)
+
+
 def test_places_with_overlaps_match_brute_force(spark):
     generator = random.Random(5)
     networks = [("20.0.0.0/8", "A", "a", "1"), ("20.1.0.0/16", "B", "b", "2")]
