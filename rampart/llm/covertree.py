@@ -2,8 +2,9 @@
 
 All vectors become integers, floor(256 * x).  Candidates are dealt to blocks around pivots
 (at most ``MOST_BLOCKS`` blocks; a pivot with many rows has several), queries too.  A block
-is indexed by a cover tree: a node's points lie within its covering radius, its children
-within half of that.  Pairs of nodes are pruned if no point of the one can beat the worst
+is indexed by a cover tree: a node's points lie within its covering radius; its children's
+centres are the points furthest from each other, until half the radius covers all points
+or there are ``CHILDREN``.  Pairs of nodes are pruned if no point of the one can beat the worst
 kth score of the queries in the other:
 
     max q.c <= qc.cc + |qc| * rc + |cc| * rq + rq * rc
@@ -32,7 +33,8 @@ from rampart.llm.pq import usable
 
 BLOCK = 2_048
 MOST_BLOCKS = 8_192
-LEAF = 48
+LEAF = 128
+CHILDREN = 8
 _PIVOT_SAMPLE = 8_192
 
 
@@ -40,6 +42,7 @@ _PIVOT_SAMPLE = 8_192
 class Node:
     rows: np.ndarray
     center: np.ndarray
+    norm: float
     radius: float
     children: list["Node"]
 
@@ -50,19 +53,17 @@ def cover_tree(points: np.ndarray, leaf: int = LEAF) -> Node:
     def node(rows: np.ndarray, center: int) -> Node:
         distance = np.sqrt(((points[rows] - points[center]) ** 2).sum(axis=1))
         radius = float(distance.max())
-        made = Node(rows, points[center], radius, [])
+        made = Node(rows, points[center], float(np.sqrt(points[center] @ points[center])), radius, [])
         if len(rows) <= leaf or radius == 0:
             return made
-        # Centres half the radius apart; each point goes to its nearest one.
-        nearest, own = distance.copy(), np.full(len(rows), center)
-        while nearest.max() > radius / 2:
+        # Centres far apart; each point goes to its nearest one.
+        nearest, own, centers = distance.copy(), np.full(len(rows), center), 1
+        while nearest.max() > radius / 2 and centers < CHILDREN:
             far = rows[int(nearest.argmax())]
             gap = np.sqrt(((points[rows] - points[far]) ** 2).sum(axis=1))
             closer = gap < nearest
             nearest[closer], own[closer] = gap[closer], far
-            if len(np.unique(own)) > len(rows) // 8 + 2:
-                # Points without structure: halves around two far points serve as well.
-                break
+            centers += 1
         made.children = [node(rows[own == c], c) for c in np.unique(own)]
         return made
 
@@ -70,8 +71,7 @@ def cover_tree(points: np.ndarray, leaf: int = LEAF) -> Node:
 
 
 def _bound(a: Node, b: Node) -> float:
-    na, nb = np.sqrt(a.center @ a.center), np.sqrt(b.center @ b.center)
-    exact = a.center @ b.center + na * b.radius + nb * a.radius + a.radius * b.radius
+    exact = float(a.center @ b.center) + a.norm * b.radius + b.norm * a.radius + a.radius * b.radius
     return exact + 1e-9 * (1 + abs(exact))
 
 
@@ -123,7 +123,10 @@ def dual_search(
         if not a.children and not b.children:
             scores = _products(queries[a.rows], points[b.rows]).astype(np.float64)
             scores = np.where(query_ids[a.rows][:, None] == ids[b.rows][None], -np.inf, scores)
-            best.add(a.rows, scores, ids[b.rows])
+            # Only queries that one of these could help are merged.
+            helped = scores.max(axis=1) >= best.scores[a.rows, -1]
+            if helped.any():
+                best.add(a.rows[helped], scores[helped], ids[b.rows])
             continue
         if b.children and (not a.children or b.radius >= a.radius):
             pairs = [(_bound(a, child), a, child) for child in b.children]
