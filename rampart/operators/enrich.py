@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rampart.functions import net
 from rampart.functions.plan import evaluate_once
 from rampart.functions.text import literal
-from rampart.operators.lookup import attach, prepared
+from rampart.operators.lookup import BROADCAST_BYTES, attach, prepared
 
 # Threat indicators shipped with the engine.
 INDICATORS = [
@@ -85,7 +85,7 @@ class PlaceIndex:
 _CANDIDATE = "struct<list_order: int, lo: bigint, hi: bigint, country: string, city: string, asn: string>"
 
 
-def place_index(table: DataFrame) -> PlaceIndex:
+def place_index(table: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) -> PlaceIndex:
     """Index a table of networks of any size (schema ``PLACE_DDL``).
 
     Of equal ranges only the first listed can win.  CIDR networks nest, so a block
@@ -110,8 +110,8 @@ def place_index(table: DataFrame) -> PlaceIndex:
     odd = ranges.where((F.col("lo") > F.col("hi")) | (size.bitwiseAND(size - 1) != 0) | (F.col("lo") % size != 0)).limit(1).collect()
     if odd:
         raise ValueError(f"not a CIDR network: {odd[0].lo} to {odd[0].hi}")
-    wide, wide_fits = prepared(blocks(ranges.where(is_wide), 16))
-    narrow, narrow_fits = prepared(blocks(ranges.where(~is_wide), 8))
+    wide, wide_fits = prepared(blocks(ranges.where(is_wide), 16), broadcast_bytes)
+    narrow, narrow_fits = prepared(blocks(ranges.where(~is_wide), 8), broadcast_bytes)
     return PlaceIndex(wide, narrow, wide_fits, narrow_fits)
 
 
@@ -220,7 +220,9 @@ def with_network_context(df: DataFrame, index: PlaceIndex | None = None) -> Data
     return df.select(*base, *keep, F.expr(direction_sql("src", "dst")).alias("direction"))
 
 
-def with_indicator(df: DataFrame, indicators: DataFrame | None = None, *, mode: str = "air_gapped") -> DataFrame:
+def with_indicator(
+    df: DataFrame, indicators: DataFrame | None = None, *, mode: str = "air_gapped", broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Add ``indicator``: the threat known for ``src_ip``, else for ``dst_ip``.
 
     The shipped indicators are a literal map.  A table of any size is joined
@@ -253,7 +255,7 @@ def with_indicator(df: DataFrame, indicators: DataFrame | None = None, *, mode:
         "confidence_score",
     )
     # One row per address: with repeats, the alphabetically first signature counts.
-    table, broadcast = prepared(indicators.groupBy("ip").agg(F.min(hit).alias("hit")))
+    table, broadcast = prepared(indicators.groupBy("ip").agg(F.min(hit).alias("hit")), broadcast_bytes)
     base = df.columns
     for side in ("src", "dst"):
         df = attach(

@@ -156,9 +156,19 @@ def event_members() -> list[Column]:
     return [lineage.alias("lineage") if name == "lineage" else F.col(name) for name in EVENT_COLUMNS]
 
 
-def native_json() -> Column:
-    """The whole canonical event as JSON text."""
-    return F.to_json(F.struct(*event_members()), _JSON)
+def native_json(*, typed: bool = False) -> Column:
+    """The whole canonical event as JSON text.
+
+    ``typed`` keeps the types of unmapped tokens (see :func:`unmapped_json`); it needs
+    events normalized with ``details=True``.
+    """
+    members = event_members()
+    if not typed:
+        return F.to_json(F.struct(*members), _JSON)
+    # The unmapped tokens are the last member.
+    text = F.to_json(F.struct(*members[:-1]), _JSON)
+    head = F.substring(text, F.lit(1), F.length(text) - 1)
+    return F.concat(head, F.lit(',"unmapped":'), unmapped_json(literals="json_literals"), F.lit("}"))
 
 
 def to_json_rows(events: DataFrame, layout: Column, name: str = "payload") -> DataFrame:

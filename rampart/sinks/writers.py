@@ -35,7 +35,13 @@ def write_lake(events: DataFrame, path: str, *, batch_size: int | None = None, m
 
 
 def write_jsonl(events: DataFrame, path: str, *, mode: str = "append") -> None:
-    """Append full nested events as JSON lines, NULL members included."""
+    """Append full nested events as JSON lines, NULL members included.
+
+    Events normalized with ``details=True`` keep the types of their unmapped tokens.
+    """
+    if "json_literals" in events.columns:
+        events.select(native_json(typed=True)).write.mode(mode).text(path)
+        return
     events.select(*event_members()).write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
