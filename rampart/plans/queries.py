@@ -22,6 +22,7 @@ from rampart.operators.normalize import normalize, verify_integrity
 from rampart.plans.expected import EXPECTED_CTE
 from rampart.plans.lines import SEED_CTE, table, with_lines
 from rampart.plans.lines import lines as derived_lines
+from rampart.schema import LAKE_COLUMNS
 from rampart.sinks import writers
 from rampart.sources import readers
 from rampart.specs import parser_catalog, shipped_specs
@@ -630,24 +631,44 @@ def traffic_percentiles_sketch(spark, sf_dir):
 
 
 # ----------------------------------------------------------- sinks, search, streams
-_LAKE = """SELECT event_id, parser_id, coalesce(e_time, '') AS event_timestamp, coalesce(e_src_ip, '') AS src_ip, CAST(coalesce(e_sport, 0) AS INTEGER) AS src_port,
-coalesce(src_asn, '') AS src_asn, coalesce(dst_int, false) AS dst_is_internal, e_proto AS protocol, CAST(e_total AS BIGINT) AS total_bytes,
-e_disposition AS action, coalesce(e_app, '') AS app_name, CASE WHEN threat_id IS NULL THEN '' ELSE threat_name END AS threat_signature FROM expected"""
-_LAKE_COLUMNS = ["parser_id", "event_timestamp", "src_ip", "src_port", "src_asn", "dst_is_internal", "protocol", "total_bytes", "action", "app_name", "threat_signature"]
+_LAKE = """SELECT {key}, id AS lake_event_id, sha256(line) AS raw_hash, line AS raw_event, CAST(1704067200 + event_id AS BIGINT) AS ingestion_epoch,
+coalesce(e_time, '') AS event_timestamp, parser_id, vendor AS vendor_name, product AS product_name, coalesce(e_src_ip, '') AS src_ip,
+CAST(coalesce(e_sport, 0) AS INTEGER) AS src_port, coalesce(e_src_zone, '') AS src_zone, coalesce(src_country, '') AS src_country, coalesce(src_asn, '') AS src_asn,
+coalesce(src_int, false) AS src_is_internal, coalesce(e_dst_ip, '') AS dst_ip, CAST(coalesce(e_dport, 0) AS INTEGER) AS dst_port, coalesce(e_dst_zone, '') AS dst_zone,
+coalesce(dst_country, '') AS dst_country, coalesce(dst_asn, '') AS dst_asn, coalesce(dst_int, false) AS dst_is_internal, e_direction AS direction, e_proto AS protocol,
+CAST(e_in AS BIGINT) AS bytes_in, CAST(e_out AS BIGINT) AS bytes_out, CAST(e_total AS BIGINT) AS total_bytes, CAST(0 AS BIGINT) AS packets_in, CAST(0 AS BIGINT) AS packets_out,
+CAST(e_dur AS BIGINT) AS duration_ms, e_disposition AS action, e_severity AS severity, coalesce(e_app, '') AS app_name,
+CASE WHEN threat_id IS NULL THEN '' ELSE threat_name END AS threat_signature, CAST(n_unmapped AS INTEGER) AS unmapped_tokens
+FROM (SELECT *, sha256('default-collector' || chr(1) || CAST(event_id AS VARCHAR)) AS digest FROM expected),
+LATERAL (SELECT substr(digest, 1, 8) || '-' || substr(digest, 9, 4) || '-' || substr(digest, 13, 4) || '-' || substr(digest, 17, 4) || '-' || substr(digest, 21, 12) AS id)"""
+
+
+def _all_lake_columns(rows: DataFrame, *keep: str) -> DataFrame:
+    """All 33 columns: the id under another name, the time in seconds, and of the JSON text
+    of the unmapped tokens how many it holds."""
+    as_is = [c for c in LAKE_COLUMNS if c not in ("event_id", "ingestion_timestamp", "unmapped_json")]
+    return rows.select(
+        *keep,
+        F.col("lake_event_id") if "lake_event_id" in rows.columns else F.col("event_id").alias("lake_event_id"),
+        F.unix_seconds("ingestion_timestamp").alias("ingestion_epoch"),
+        F.coalesce(F.size(F.json_object_keys("unmapped_json")), F.lit(0)).alias("unmapped_tokens"),
+        *as_is,
+    )
 
 
-@query(expect(_LAKE))
+@query(expect(_LAKE.format(key="event_id")))
 def lake_flatten(spark, sf_dir):
     source = events(spark, sf_dir, details=True)
     rows = export.lake_rows(source, F.col("event_id").alias("source_id"))
-    return rows.select(F.col("source_id").alias("event_id"), *_LAKE_COLUMNS)
+    named = rows.withColumnRenamed("event_id", "lake_event_id").withColumnRenamed("source_id", "event_id")
+    return _all_lake_columns(named, "event_id")
 
 
-@query(expect(_LAKE.replace("SELECT event_id", "SELECT sha256(line) AS raw_hash").replace(", parser_id,", ", parser_id,", 1)))
+@query(expect(_LAKE.format(key="'lake' AS table_name")))
 def lake_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "lake")
     writers.write_lake(events(spark, sf_dir), path)
-    return readers.read_lake(spark, path).select("raw_hash", *_LAKE_COLUMNS)
+    return _all_lake_columns(readers.read_lake(spark, path).withColumn("table_name", F.lit("lake")), "table_name")
 
 
 @query(expect("""SELECT line AS raw_event, e_disposition AS disposition, e_src_ip AS src_ip, CAST(e_dport AS INTEGER) AS dst_port, CAST(n_unmapped AS INTEGER) AS n_unmapped FROM expected"""))
