@@ -39,10 +39,3 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library made."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def fixed(df: DataFrame) -> DataFrame:
-    """The same rows (random ids included) for every later reader, whatever task is
-    lost: the result is written to the checkpoint folder once."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()

@@ -684,15 +684,22 @@ def jsonl_roundtrip(spark, sf_dir):
     )
 
 
-@query(expect("SELECT v.vendor, count(*) AS rows, count(DISTINCT v.line) AS hashes FROM expected v GROUP BY 1"))
+@query(expect("""SELECT v.vendor, count(*) AS rows, count(DISTINCT v.line) AS hashes, CAST(count(*) FILTER (WHERE v.e_disposition = 'Blocked') AS BIGINT) AS replaced
+FROM expected v GROUP BY 1"""))
 def forensic_upsert(spark, sf_dir):
-    """All events, then the blocked ones again: no row may appear twice."""
+    """All events, then the blocked ones again under another severity: no row may appear
+    twice, and the later one counts."""
     path = fresh_path(spark, "forensic")
     source = events(spark, sf_dir)
     writers.upsert_forensic(source, path)
-    writers.upsert_forensic(source.where("disposition = 'Blocked'"), path)
+    changed = source.where("disposition = 'Blocked'").withColumn("severity", F.lit("Reviewed"))
+    writers.upsert_forensic(changed, path)
     stored = writers.read_forensic(spark, path)
-    return stored.groupBy("vendor").agg(F.count("*").alias("rows"), F.countDistinct("raw_event").alias("hashes"))
+    return stored.groupBy("vendor").agg(
+        F.count("*").alias("rows"),
+        F.countDistinct("raw_event").alias("hashes"),
+        F.count_if(F.col("severity") == "Reviewed").alias("replaced"),
+    )
 
 
 @query(expect("SELECT event_id, line AS payload_raw FROM expected"))
@@ -707,32 +714,37 @@ def siem_outbox(spark, sf_dir):
     )
 
 
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as a stored forensic table."""
+    path = fresh_path(spark, "forensic")
+    writers.upsert_forensic(events(spark, sf_dir), path, fresh_ids=True)
+    return writers.read_forensic(spark, path)
+
+
 @query(expect("""SELECT sha256(line) AS raw_hash, vendor, e_disposition AS action FROM expected WHERE vendor = 'Cisco Systems' AND e_disposition = 'Blocked'
 ORDER BY event_id DESC LIMIT 50"""))
 def forensic_search_topk(spark, sf_dir):
-    stored = export.forensic_rows(events(spark, sf_dir))
+    stored = stored_events(spark, sf_dir)
     found = search.search_events(stored, "vendor = :v AND action = :a", {"v": "Cisco Systems", "a": "Blocked"})
     return found.select("raw_hash", "vendor", "action")
 
 
 @query(expect("SELECT sha256(line) AS raw_hash, vendor FROM expected WHERE vendor = 'Zeek' ORDER BY event_id DESC LIMIT 20"))
 def forensic_search_vendor(spark, sf_dir):
-    stored = export.forensic_rows(events(spark, sf_dir))
+    stored = stored_events(spark, sf_dir)
     return search.events_of_vendor(stored, "Zeek", limit=20).select("raw_hash", "vendor")
 
 
-@query(expect("""SELECT event_id, vendor, e_src_ip AS src_ip FROM expected WHERE lower(vendor) LIKE '%10.1%' OR lower(e_disposition) LIKE '%10.1%' OR lower(e_proto) LIKE '%10.1%'
+@query(expect("""SELECT sha256(line) AS raw_hash, vendor, e_src_ip AS src_ip FROM expected WHERE lower(vendor) LIKE '%10.1%' OR lower(e_disposition) LIKE '%10.1%' OR lower(e_proto) LIKE '%10.1%'
 OR e_src_ip LIKE '%10.1%' OR e_dst_ip LIKE '%10.1%'"""))
 def substring_search(spark, sf_dir):
-    stored = export.forensic_rows(events(spark, sf_dir), F.col("event_id").alias("source_id"))
-    return search.matching_text(stored, " 10.1").select(F.col("source_id").alias("event_id"), "vendor", "src_ip")
+    return search.matching_text(stored_events(spark, sf_dir), " 10.1").select("raw_hash", "vendor", "src_ip")
 
 
-@query(expect("SELECT event_id, e_dst_ip AS dst_ip, e_severity AS severity FROM expected WHERE e_src_ip = '45.33.32.156' AND e_severity = 'High'"))
+@query(expect("SELECT sha256(line) AS raw_hash, e_dst_ip AS dst_ip, e_severity AS severity FROM expected WHERE e_src_ip = '45.33.32.156' AND e_severity = 'High'"))
 def indexed_lookup(spark, sf_dir):
-    stored = export.forensic_rows(events(spark, sf_dir), F.col("event_id").alias("source_id"))
-    found = search.events_by_key(stored, src_ip="45.33.32.156", severity="High")
-    return found.select(F.col("source_id").alias("event_id"), "dst_ip", "severity")
+    found = search.events_by_key(stored_events(spark, sf_dir), src_ip="45.33.32.156", severity="High")
+    return found.select("raw_hash", "dst_ip", "severity")
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:

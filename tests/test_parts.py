@@ -159,3 +159,19 @@ def test_upsert_replaces_and_fan_out_isolates(spark, tmp_path):
     actions = sorted(r.action for r in writers.read_forensic(spark, path).collect())
     assert actions == ["Allowed"] * 3 + ["Blocked"] * 2
     assert writers.write_outbox(first, str(tmp_path / "out")) == 5
+
+
+def test_lookups_are_pushed_to_the_stored_table(spark):
+    from rampart import normalize
+    from rampart.functions.session import fresh_path
+    from rampart.operators import search
+    from rampart.sinks import writers
+
+    path = fresh_path(spark, "forensic-test")
+    frame = spark.createDataFrame([(f"src_ip=10.0.0.{i} dst_ip=10.0.1.{i} action=allow",) for i in range(50)], "raw_event string")
+    writers.upsert_forensic(normalize(frame), path, fresh_ids=True)
+    stored = writers.read_forensic(spark, path)
+    found = search.events_by_key(stored, src_ip="10.0.0.7", action="Allowed")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(src_ip,10.0.0.7)" in plan and "EqualTo(action,Allowed)" in plan
+    assert [r.dst_ip for r in found.collect()] == ["10.0.1.7"]
