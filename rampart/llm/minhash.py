@@ -48,7 +48,8 @@ MARGIN = 0.14
 SMALL_BUCKET = 32
 LEFT_BLOCK, RIGHT_BLOCK = 256, 1024
 _COLUMNS = 8_192
-MEMORY = 500_000
+# At so many remembered word hashes the memory of a worker starts afresh.
+MEMORY = 200_000
 _SLICE = 400_000
 _WORD = re.compile(WORD)
 _LOWER = str.maketrans(UPPER, UPPER.lower())
@@ -175,6 +176,7 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     columns, names=["doc_id", "node", "other", "n_shingles", "signature", "bands"]
                 )
+        _HASHES.clear()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, out)
 

@@ -43,7 +43,8 @@ LEAST_SHARE = 0.01
 LEAST_RATIO = 2.5
 # Log-odds of a document without tokens, and bound for all.
 FAR = 20.0
-MEMORY = 1_000_000
+# At so many remembered words, and after each task, the memory of a worker starts afresh.
+MEMORY = 300_000
 _WORD = re.compile(WORD)
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _WIDTH = 1 + len(PREFIXES)
@@ -138,10 +139,13 @@ class ToxicityModel:
         self.__dict__.update(state)
         self._words, self._emit = _Words(), np.zeros(0)
 
+    def forget(self) -> None:
+        self._words, self._emit = _Words(), np.zeros(0)
+
     def odds(self, documents: list[list[str]]) -> np.ndarray:
         """Marginal log-odds of all tokens, document after document."""
         if len(self._words.number) > MEMORY:
-            self._words, self._emit = _Words(), np.zeros(0)
+            self.forget()
         places = self._words.of(documents)
         new = self._words.features[len(self._emit) :]
         self._emit = np.append(self._emit, self.bias + self.weights[new].sum(axis=1))
@@ -303,6 +307,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, keep: tuple[str, ...] = ("do
                 part = batch.slice(first, len(texts))
                 columns = [*(part.column(c) for c in keep), pa.array(model.score(measures)), pa.array(spans, span_type)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "toxicity", "spans"])
+        model.forget()
 
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
