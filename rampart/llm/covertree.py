@@ -169,7 +169,8 @@ def _blocks(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     dealt = staged(rows.mapInPandas(assign, "vec_id long, vector array<double>, width int, cell int"), f"{name}-cells")
     sizes = dealt.groupBy("width", "cell").agg(F.count("*").alias("n")).select("width", "cell", F.ceil(F.col("n") / size).cast("int").alias("of"))
     part = F.pmod(F.xxhash64("vec_id", F.lit(6)), F.col("of")).cast("int")
-    blocks = dealt.join(F.broadcast(sizes), ["width", "cell"]).select(
+    sizes = staged(sizes, f"{name}-sizes")
+    blocks = dealt.join(sizes, ["width", "cell"]).select(
         "vec_id", "vector", "width", F.concat_ws("-", "width", "cell", part).alias(name)
     )
     blocks = staged(blocks, f"{name}-blocks")

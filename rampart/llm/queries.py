@@ -119,9 +119,7 @@ def op5_cover_tree(spark, sf_dir):
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
     """Learned from the labelled documents that are not held out."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_labelled"), "toxic")
-    learn = docs.where(~toxicity.split(F.col("doc_id"))).select("doc_id", "text")
-    return toxicity.train(learn.join(labels, learn["doc_id"] == labels["_labelled"]))
+    return toxicity.train(docs, table(spark, sf_dir, "labels").where(~toxicity.split(F.col("doc_id"))))
 
 
 @query()

@@ -21,9 +21,7 @@ TOXIC = 0.5
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a toxic score."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_labelled"), "toxic")
-    learn = docs.select("doc_id", "text")
-    model = toxicity.train(learn.join(labels, learn["doc_id"] == labels["_labelled"]))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs.select(*COLUMNS), model, keep=COLUMNS)
     return scored.where(F.col("toxicity") < TOXIC).select(*COLUMNS)
 

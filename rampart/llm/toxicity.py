@@ -5,7 +5,7 @@ of the word in lower case without outer punctuation, and of its first 4, 5 and 6
 Two labels, clean and toxic; a chain runs over up to ``CHAIN`` tokens of a text.
 
 Training takes a bounded sample of labelled documents: about ``TRAIN_ROWS`` toxic ones and
-twice as many clean ones, drawn by a hash of the text, equal texts once.  Documents carry the
+twice as many clean ones, drawn by a hash of the id, equal texts once.  Documents carry the
 labels, so tokens are labelled first: a token of a toxic document is toxic if one of its
 features is far more frequent in toxic documents than in clean ones.  The weights then
 maximise the conditional likelihood of the token labels, by gradients from
@@ -268,16 +268,25 @@ def _curve(x: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> list[float]:
     return [round(float(v), 9) for v in w]
 
 
-def train(labelled: DataFrame, *, rows: int = TRAIN_ROWS) -> ToxicityModel:
-    """Fit on rows (text, toxic), about ``rows`` toxic and twice as many clean ones.  They
-    reach the driver."""
-    known = labelled.where("toxic IS NOT NULL AND text IS NOT NULL").select("text", (F.col("toxic") == 1).alias("toxic"))
+def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> ToxicityModel:
+    """Fit on documents (doc_id, text) with a label (doc_id, toxic): about ``rows`` toxic
+    and twice as many clean ones, which reach the driver.
+
+    The sample is drawn among the labels, so of the documents only those in it are moved.
+    An id with several labels counts as toxic if one of them is.
+    """
+    known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
+    known = known.agg((F.max("toxic") == 1).alias("toxic"))
     counts = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     million = 1_000_000
     limits = [int(million * min(1.0, most / max(1, counts.get(bad, 0)))) for bad, most in ((False, 2 * rows), (True, rows))]
-    draw = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(million))
-    sample = known.where(draw < F.when(F.col("toxic"), limits[True]).otherwise(limits[False])).dropDuplicates(["text", "toxic"])
-    found = sample.toPandas().sort_values("text", ignore_index=True)
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(million))
+    drawn = known.where(draw < F.when(F.col("toxic"), limits[True]).otherwise(limits[False])).limit(6 * rows)
+    drawn = drawn.select(F.col("doc_id").alias("_drawn"), "toxic")
+    texts = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_drawn"))
+    # Many texts under one id are cut by a hash, the same on every run.
+    sample = texts.dropDuplicates(["text", "toxic"]).orderBy(F.xxhash64("text"), "text").limit(6 * rows)
+    found = sample.select("text", "toxic").toPandas()
     toxic = found["toxic"].to_numpy(bool)
     weight = np.ones(len(found))
     for bad in (False, True):

@@ -219,7 +219,7 @@ def bag(frame):
 def test_pipeline_filters(spark, staged_docs):
     docs, clean, known = staged_docs[:3]
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
-    model = toxicity.train(docs.join(labels, "doc_id"))
+    model = toxicity.train(docs, labels)
     scores = {r.doc_id: r.toxicity for r in toxicity.score(docs, model).collect()}
     keep = [d for d, s in scores.items() if s < stages.TOXIC]
     assert bag(clean) == bag(docs.where(F.col("doc_id").isin(keep))) and len(keep) < len(scores)

@@ -155,7 +155,7 @@ def test_toxic_spans(spark, odd_docs, no_docs):
     rows = [(i, f"some words {i} then you awful zork and more words {i % 5}", 1) for i in range(60)]
     rows += [(100 + i, f"some words {i} then you kind friend and more words {i % 5}", 0) for i in range(120)]
     labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    model = toxicity.train(labelled)
+    model = toxicity.train(labelled.select("doc_id", "text"), labelled.drop("text"))
     docs = odd_docs.unionByName(labelled.select("doc_id", "text"), allowMissingColumns=True)
     found = toxicity.score(docs, model, keep=("doc_id", "text", "part")).collect()
     assert len(found) == docs.count() and all(0 <= r.toxicity <= 1 for r in found)
@@ -167,7 +167,7 @@ def test_toxic_spans(spark, odd_docs, no_docs):
             assert any("zork" in r.text[s.start : s.stop] for s in r.spans)
         elif r.text and "friend" in r.text:
             assert r.toxicity < 0.3 and not r.spans
-    nothing = toxicity.train(labelled.where("toxic = 7"))
+    nothing = toxicity.train(labelled.select("doc_id", "text"), labelled.where("toxic = 7"))
     assert {r.toxicity for r in toxicity.score(odd_docs, nothing).collect()} == {0.0}
     assert toxicity.score(no_docs, model).collect() == []
 
