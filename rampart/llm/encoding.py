@@ -20,7 +20,7 @@ _PIECE = re.compile(r"[ \n]*+[^\W_]++(?![^\x00-\x7f])|[ \n]*[^ \n]+|[ \n]+")
 # With other kinds of white space a text is encoded as a whole.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 # At so many pieces the memory of a worker starts afresh.
-MEMORY = 1_000_000
+MEMORY = 700_000
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
