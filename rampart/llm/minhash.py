@@ -54,8 +54,8 @@ _SLICE = 400_000
 _WORD = re.compile(WORD)
 _LOWER = str.maketrans(UPPER, UPPER.lower())
 _RNG = np.random.default_rng(20)
-_A = _RNG.integers(1, 1 << 63, ROWS * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _RNG.integers(0, 1 << 63, ROWS * BANDS, np.uint64)
+_A = _RNG.integers(0, 1 << 32, ROWS * BANDS, np.uint32) | np.uint32(1)
+_B = _RNG.integers(0, 1 << 32, ROWS * BANDS, np.uint32)
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 _SETS = "node long, other long, n_shingles long"
@@ -112,13 +112,14 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     while first < len(sets):
         # Runs of sets that fit a processor's cache.
         last = max(first + 1, int(np.searchsorted(np.cumsum(sizes[first:]), 60_000)) + first)
-        values = np.concatenate(sets[first:last])
+        # 32 bits of a shingle are enough to draw minima; sets are verified on all 64.
+        values = (np.concatenate(sets[first:last]) >> np.uint64(32)).astype(np.uint32)
         starts = np.append(0, np.cumsum(sizes[first:last]))[:-1]
         held = np.empty_like(values)
         for k in range(ROWS * BANDS):
             np.multiply(values, _A[k], out=held)
             np.add(held, _B[k], out=held)
-            out[first:last, k] = np.minimum.reduceat(held, starts) >> np.uint64(32)
+            out[first:last, k] = np.minimum.reduceat(held, starts)
         first = last
     return out
 
