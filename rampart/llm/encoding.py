@@ -16,7 +16,14 @@ import numpy as np
 # A piece starts at white space that follows something else, or where a run of letters
 # and digits ends.  A run before something that is not ASCII may have to be composed
 # with it, so there the piece goes on to the next white space.
-_PIECE = re.compile(r"[ \n]*+[^\W_]++(?![^\x00-\x7f])|[ \n]*[^ \n]+|[ \n]+")
+# Nor does it end at a letter that becomes a letter and a mark in lower case or in
+# composed form: a tokenizer joins the mark with punctuation that follows.
+_MARKED = (
+    "\u0130\u0958-\u095f\u09dc\u09dd\u09df\u0a33\u0a36\u0a59-\u0a5b\u0a5e\u0b5c\u0b5d"
+    "\u0f43\u0f4d\u0f52\u0f57\u0f5c\u0f69\ufb1d\ufb1f\ufb2a-\ufb36\ufb38-\ufb3c\ufb3e"
+    "\ufb40\ufb41\ufb43\ufb44\ufb46-\ufb4e"
+)
+_PIECE = re.compile(rf"[ \n]*+[^\W_]++(?<![{_MARKED}])(?![^\x00-\x7f])|[ \n]*[^ \n]+|[ \n]+")
 # With other kinds of white space a text is encoded as a whole.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 # At so many pieces the memory of a worker starts afresh.

@@ -1,5 +1,7 @@
 """Packing, Re-Pair files and trie counts against plain use of the tokenizers."""
 
+import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -10,6 +12,7 @@ from tokenizers.models import Unigram
 
 from rampart.functions.session import fresh_path
 from rampart.llm import counts, packing, repair
+from rampart.llm.encoding import Encoder
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -148,3 +151,20 @@ def test_trie_shares_prefixes_of_any_words():
     words = ["ab", "aba", "abab", "b", "é", "abé", "ababab", "ba"]
     assert [int(trie.count([[w]])[0]) for w in words] == [brute("▁" + w) for w in words]
     assert trie.count([words, [], words[:2]]).tolist() == [sum(brute("▁" + w) for w in words), 0, brute("▁ab") + brute("▁aba")]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_pieces_have_the_ids_of_whole_texts(path):
+    tokens = Encoder(path)
+    rng = random.Random(8)
+    letters = [chr(c) for c in range(0x80, 0x20000) if chr(c).isalnum()]
+    marked = [c for c in letters if not unicodedata.normalize("NFC", c).lower().isalnum()]
+    assert "\u0130" in marked and "\u0958" in marked and "\ufb2a" in marked
+    texts = ["HABERLER\u0130, YEN\u0130.", *(form.format(c) for c in letters for form in ("a{},b", "{}'s", "{0}1. {0}", "-{}a"))]
+    some = ["\u0130", *marked, *rng.sample(letters, 40), *"aeis1 ,.'-_\n!\u0301\u0307"]
+    texts += ["".join(rng.choices(some, k=rng.randrange(1, 12))) for _ in range(20_000)]
+    ids, sizes = tokens.encode(texts, 2)
+    wanted = tokens._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    stops = np.cumsum(sizes)
+    wrong = [t for t, a, b, x in zip(texts, stops - sizes, stops, wanted) if ids[a:b].tolist() != [*x.ids, 2]]
+    assert wrong == []
