@@ -47,13 +47,18 @@ class _Numbers(dict):
 
 
 class Encoder:
-    def __init__(self, path: str) -> None:
+    """``added_tokens``: the strings of added tokens in a text stand for these tokens, as
+    in the library's own call; otherwise they are ordinary text."""
+
+    def __init__(self, path: str, added_tokens: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens are ordinary text.
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = not added_tokens
+        # A text that holds one of these is encoded as a whole.
+        found = self._tokenizer.get_added_tokens_decoder().values() if added_tokens else ()
+        self._added = [token.content for token in found]
         self._forget()
 
     def _forget(self) -> None:
@@ -89,7 +94,7 @@ class Encoder:
         number = self._number
         pieces, counts, whole = [], [], {}
         for place, text in enumerate(texts):
-            if _OTHER_SPACE.search(text):
+            if _OTHER_SPACE.search(text) or any(x in text for x in self._added):
                 whole[place] = text
                 counts.append(0)
                 continue
@@ -122,6 +127,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
     """One per worker process, kept from task to task."""
-    return Encoder(path)
+    return Encoder(path, added_tokens)

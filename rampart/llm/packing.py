@@ -31,13 +31,13 @@ _PIECES = (
 )
 
 
-def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int, added_tokens: bool = False) -> DataFrame:
     """Per document its ids (little-endian unsigned 32-bit), the task that encoded it and
     the number of ids before it in that task."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        tokens = encoder(tokenizer_path)
+        tokens = encoder(tokenizer_path, added_tokens)
         for batch in batches:
             doc_ids = batch.column("doc_id")
             for first, texts in slices(batch, "text"):
@@ -64,15 +64,22 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
 
 def pack(
-    docs: DataFrame, tokenizer_path: str, *, end_id: int, window: int = 2048, keep_ids: bool = True
+    docs: DataFrame,
+    tokenizer_path: str,
+    *,
+    end_id: int,
+    window: int = 2048,
+    keep_ids: bool = True,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece: the part of a document that lies in one window.
 
     ``start`` counts the document's ids before the piece, ``offset`` its place in the
     window ``sequence_id``.  ``continued`` and ``continues`` are the boundary records:
-    the document began in an earlier window, or goes on in the next one.
+    the document began in an earlier window, or goes on in the next one.  With
+    ``added_tokens`` the strings of special tokens in a text stand for these tokens.
     """
-    tokens = staged(token_rows(docs, tokenizer_path, end_id), "tokens")
+    tokens = staged(token_rows(docs, tokenizer_path, end_id, added_tokens), "tokens")
     placed = with_offsets(tokens, "part", "doc_tokens", "part_offset")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

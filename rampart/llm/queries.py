@@ -39,7 +39,8 @@ def op1_repair(spark, sf_dir):
     """Encode, write as Re-Pair blocks, read the blocks back."""
     path = fresh_path(spark, "repair")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    repair.write_repair(table(spark, sf_dir, "documents"), path, tokenizer, end_id=2, vocabulary=49_408)
+    docs = table(spark, sf_dir, "documents")
+    repair.write_repair(docs, path, tokenizer, end_id=2, vocabulary=49_408, added_tokens=True)
     return repair.read_digests(spark, path)
 
 
@@ -138,7 +139,8 @@ def op7_toxicity(spark, sf_dir):
 @query()
 def op8_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, keep_ids=False)
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack(docs, tokenizer, end_id=1, keep_ids=False, added_tokens=True)
     return pieces.drop("continued", "continues")
 
 

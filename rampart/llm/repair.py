@@ -186,16 +186,18 @@ def write_repair(
     vocabulary: int,
     shards: int | None = None,
     block_tokens: int = BLOCK_TOKENS,
+    added_tokens: bool = False,
 ) -> None:
     """Encode ``docs`` (doc_id, text) and write the blocks.
 
     ``vocabulary``: all ids are below it.  ``shards`` is the number of ranges (default:
     the session's shuffle partitions).  Rows of one id are spread by their text.
+    With ``added_tokens`` the strings of special tokens in a text stand for these tokens.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number, first = TaskContext.get().partitionId(), 0, 0
-        tokens = encoder(tokenizer_path)
+        tokens = encoder(tokenizer_path, added_tokens)
         parts: list[tuple] = []
         held = 0
 

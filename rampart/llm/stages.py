@@ -63,4 +63,4 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences: one row per piece of a document in a window of 2048 ids."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, window=2048)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, window=2048, added_tokens=True)

@@ -7,12 +7,14 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.models import Unigram
 
 from rampart.functions.session import fresh_path
-from rampart.llm import counts, packing, repair
+from rampart.llm import counts, packing, repair, stages
 from rampart.llm.encoding import Encoder
+from rampart.llm.queries import QUERIES
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -168,3 +170,25 @@ def test_pieces_have_the_ids_of_whole_texts(path):
     stops = np.cumsum(sizes)
     wrong = [t for t, a, b, x in zip(texts, stops - sizes, stops, wanted) if ids[a:b].tolist() != [*x.ids, 2]]
     assert wrong == []
+
+
+def test_queries_know_added_tokens_as_the_library_does(spark, odd_docs, tmp_path):
+    more = [(20, "a b <|endoftext|> c"), (21, "<|startoftext|><|endoftext|>"), (22, "<|ENDOFTEXT|> <|endoftext|"), (23, "x<|endoftext|>, YEN\u0130.")]
+    docs = odd_docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    docs.select("doc_id", "text", *(F.lit(None).cast("string").alias(c) for c in ("lang", "source")), F.lit(1).alias("n_chars")).write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+
+    def wanted(path, end):
+        tokenizer = Tokenizer.from_file(path)
+        ids = [[*tokenizer.encode(r.text or "", add_special_tokens=False).ids, end] for r in docs.collect()]
+        return sorted((str(r.doc_id), len(x), crc(x)) for r, x in zip(docs.collect(), ids))
+
+    assert Tokenizer.from_file(WORDS).encode(more[0][1], add_special_tokens=False).ids == [320, 321, 49407, 322]
+    rows = QUERIES["op1_repair"](spark, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in rows) == wanted(WORDS, 2)
+    rows = [r for r in QUERIES["op8_packing"](spark, str(tmp_path)).collect() if r.length == r.doc_tokens]
+    found = sorted((str(r.doc_id), r.doc_tokens, r.ids_crc32) for r in rows)
+    assert set(found) <= set(wanted(BYTES, 1)) and {str(x) for x, _ in more} <= {x for x, *_ in found}
+    stage = stages.packing_stage(spark, docs, str(tmp_path)).where("length = doc_tokens").collect()
+    assert sorted((str(r.doc_id), r.doc_tokens, r.ids_crc32) for r in stage) == found
