@@ -66,6 +66,29 @@ def json_edge_rows(spark, sf_dir):
     )
 
 
+@query("""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(user_id % 256 AS VARCHAR) || '.2.2.2' END AS src_ip,
+CASE WHEN event_id % 2 = 0 THEN 'nan' END AS score, CASE WHEN event_id % 2 = 0 THEN '-inf' END AS low,
+CASE WHEN event_id % 2 = 0 THEN 'true' END AS ok_literal, CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) END AS n_literal,
+event_id % 2 = 0 AS is_valid FROM events""")
+def json_edge_events(spark, sf_dir):
+    """The lines of ``json_edge_rows`` for all events, with what the parser gave: nothing
+    from a line that is not read."""
+    line = (
+        """'{"event_type":"dns","src_ip":"1.1.1.1","src_ip":"' || user_id % 256 || '.2.2.2","score":NaN,"low":-Infinity,"ok":true,"n":'"""
+        """ || event_id || CASE WHEN event_id % 2 = 0 THEN '}' ELSE ',"d":{"a":1,"a":2}}' END"""
+    )
+    found = _awkward(spark, sf_dir, line, details=True)
+    return found.select(
+        "event_id",
+        F.col("src_endpoint.ip").alias("src_ip"),
+        F.col("unmapped")["score"].alias("score"),
+        F.col("unmapped")["low"].alias("low"),
+        F.col("json_literals")["ok"].alias("ok_literal"),
+        F.col("json_literals")["n"].alias("n_literal"),
+        F.col("lineage.is_valid").alias("is_valid"),
+    )
+
+
 @query("""SELECT event_id, '10.0.0.1' AS src_ip, '10.0.0.' || CAST(user_id % 250 AS VARCHAR) AS dst_ip, 'UDP' AS protocol,
 CAST(event_id AS VARCHAR) AS tag FROM events""")
 def unicode_space(spark, sf_dir):

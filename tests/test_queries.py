@@ -20,3 +20,12 @@ def connection():
 def test_query_matches_oracle(spark, connection, name):
     problem = mismatch(spark, connection, name, entry.queries()[name], entry.oracle_sql()[name], SF_DIR)
     assert problem is None, problem
+
+
+def test_json_edges_of_all_events(spark):
+    folder = "/root/testdata/sf0.1"
+    name, events = "json_edge_events", spark.read.parquet(f"{folder}/events.parquet")
+    query, sql = entry.queries()[name], entry.oracle_sql()[name]
+    assert events.where("user_id >= 256").count() > 0 and query(spark, folder).count() == events.count()
+    problem = mismatch(spark, oracle_connection(folder), name, query, sql, folder)
+    assert problem is None, problem
