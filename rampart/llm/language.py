@@ -7,8 +7,9 @@ of the languages in two), with more it is a fixed dense code of about 10 log2(k)
 
 A bit's classifier is a multinomial model: per n-gram the log ratio of its mean frequency
 among the languages with the bit to that among the others.  Bits weigh by how often they
-were right on the training rows.  Training rows are a sample of about ``TRAIN_ROWS`` rows
-with a language, drawn by a hash of the text; everything else covers all rows.
+were right on the training rows.  Training rows are the distinct texts of each language,
+or from about ``TRAIN_ROWS`` on a sample of that size: drawn by a hash of the text at a share
+per language, at least one text of each; everything else covers all rows.
 
 Rows: every input row is judged, also with a NULL or repeated id.  ``und`` with score 0 is
 the answer for a text that is NULL or has no letter, and for all texts if there was
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rampart.llm.common import slices
+from rampart.llm.common import slices, staged
 
 TRAIN_ROWS = 20_000
 HASH_BITS = 16
@@ -137,14 +138,37 @@ class LanguageModel:
         return [self.langs[i] for i in best], score, score < AMBIGUOUS_BELOW
 
 
+def _level(counts: list[int], rows: int) -> float:
+    """The greatest number that, as a bound of each count, keeps their sum within ``rows``."""
+    left = rows
+    for place, count in enumerate(sorted(counts)):
+        share = left / (len(counts) - place)
+        if count > share:
+            return share
+        left -= count
+    return float("inf")
+
+
+def _sample(known: DataFrame, rows: int) -> DataFrame:
+    """Distinct (lang, text), about ``rows`` of them: all of the languages with few, and of
+    the others as many as are left for each."""
+    draw = F.shiftrightunsigned(F.xxhash64("text", F.lit(3)), 1)
+    hashed = known.select("lang", draw.alias("draw")).groupBy("lang", "draw").count()
+    found = hashed.groupBy("lang").agg(F.count("*"), F.min("draw")).collect()
+    level, full = _level([r[1] for r in found], rows), (1 << 63) - 1
+    # The text with the least hash is drawn at any share, so that no language is lost.
+    limits = [(r[0], full if r[1] <= level else max(r[2], int(full * (level / r[1])))) for r in found]
+    shares = known.sparkSession.createDataFrame(limits, "lang string, most long")
+    drawn = known.join(F.broadcast(shares), "lang").where(draw <= F.col("most"))
+    return staged(drawn.select("lang", "text").dropDuplicates(), "language-sample")
+
+
 def train(docs: DataFrame, usable: Column, *, rows: int = TRAIN_ROWS) -> LanguageModel:
-    """Fit on about ``rows`` of the rows where ``usable`` holds and text and lang are not
-    NULL.  What reaches the driver is one table of counts: languages times 2^16 at most."""
+    """Fit on about ``rows`` distinct texts of the rows where ``usable`` holds and text and
+    lang are not NULL.  What reaches the driver is one table of counts: languages times 2^16
+    at most."""
     known = docs.where(usable & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", "text")
-    total = known.count()
-    if total > rows:
-        share = rows / total
-        known = known.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) + 1))
+    known = _sample(known, rows)
     counts = _profiles(known).toPandas()
     langs = sorted(counts["lang"].unique(), key=lambda x: x.encode())
     if not langs:

@@ -1,7 +1,7 @@
 """URL rules, mixing and models on odd rows; every oracle on the smallest tables."""
 
 import itertools
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from compare import mismatch, oracle_connection
@@ -136,6 +136,23 @@ def test_language_of_odd_rows(odd_docs, no_docs):
     assert {r.lang_pred for r in language.detect(odd_docs, only).collect()} == {"fr", "und"}
 
 
+def test_every_language_is_learned_from_few_of_many_rows(spark):
+    rows = [("en", f"the words number {i} of many") for i in range(4_000)]
+    rows += [("de", f"die W\u00f6rter mit der Zahl {i}") for i in range(5)]
+    rows += [("fr", "les mots sont toujours les m\u00eames")] * 3_000
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    drawn = [tuple(r) for r in language._sample(docs, 200).collect()]
+    assert len(set(drawn)) == len(drawn) and set(drawn) <= set(rows)
+    per = Counter(lang for lang, _ in drawn)
+    assert per["de"] == 5 and per["fr"] == 1 and 120 < per["en"] < 270
+    assert language.train(docs, F.lit(True), rows=200).langs == ["de", "en", "fr"]
+    # Copies change neither the size of the sample nor the model, below the bound as above it.
+    copies = docs.union(docs.where("text LIKE '% number 7 %'").crossJoin(spark.range(3_000)).drop("id"))
+    for rows in (200, 100_000):
+        once, more = (language.train(x, F.lit(True), rows=rows) for x in (docs, copies))
+        assert once.langs == more.langs and (once.weights == more.weights).all() and (once.bit_weights == more.bit_weights).all()
+
+
 def test_codewords_are_distinct():
     for count in range(2, 40):
         code = language.codewords(count)
