@@ -14,7 +14,8 @@ query block has been searched against its most promising candidate block.
 
 Rows: vectors that are NULL or hold a NULL or non-finite component, and rows without an id,
 take no part.  A query is not compared with rows of its own id.  Vectors of different
-lengths are not compared.  Rows of one id count each; ties go to the smaller id.  Other
+lengths are not compared.  Rows of one id count each,
+also equal ones, as queries too; ties go to the smaller id.  Other
 columns are not used.  Without queries or candidates the result is empty.
 """
 
@@ -236,8 +237,13 @@ def top_k(vectors: DataFrame, *, every: int = 50, k: int = 5) -> DataFrame:
     rows = vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
     rows = rows.select(F.col("vec_id").cast("long"), whole.alias("vector")).withColumn("width", F.size("vector")).where("width > 0")
     points, summaries = _blocks(rows, "block")
-    queries, query_summaries = _blocks(rows.where(F.pmod("vec_id", F.lit(every)) == 0), "query_block")
-    queries = queries.withColumn("row", F.xxhash64("vec_id", "vector"))
+    # Equal query rows are searched once; each has the neighbours found, in the end.
+    own = rows.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id", "vector", "width")
+    own, again = staged_twice(own.agg(F.count("*").cast("int").alias("copies")), "queries")
+    queries, query_summaries = _blocks(own.drop("copies"), "query_block")
+    row = F.xxhash64("vec_id", "vector").alias("row")
+    queries = queries.withColumn("row", row)
+    repeated = again.where("copies > 1").select(F.col("vec_id").alias("query_id"), row, "copies")
     bounds = staged(_bounds(query_summaries, summaries), "bounds")
     best = bounds.groupBy("query_block").agg(F.max(F.struct("bound", "block")).alias("top")).select("query_block", F.col("top.block").alias("block"))
     best = staged(best, "best-blocks")
@@ -251,4 +257,6 @@ def top_k(vectors: DataFrame, *, every: int = 50, k: int = 5) -> DataFrame:
     second = _search(rest, asked, points, k)
     order = Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id")
     ranked = first.union(second).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    ranked = ranked.join(repeated, ["query_id", "row"], "left")
+    copies = F.array_repeat(F.lit(0), F.coalesce("copies", F.lit(1)))
+    return ranked.select("query_id", "rank", "vec_id", "score", F.explode(copies).alias("_copy")).drop("_copy")

@@ -181,6 +181,23 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert covertree.top_k(frame.where("vec_id = 602")).collect() == []
 
 
+def test_top_k_of_equal_query_rows(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "BLOCK", 64)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(300)]
+    # Query 50 twice, 100 three times and once with another vector; a candidate twice.
+    rows += [rows[50], rows[100], rows[100], (100, rows[7][1]), rows[13]]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(v, [int(np.floor(256 * x)) for x in e]) for v, e in rows]
+    wanted = []
+    for query, a in whole:
+        if query % 50 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), v) for v, b in whole if v != query)
+            wanted += [(query, i + 1, v, -s) for i, (s, v) in enumerate(scored[:5])]
+    found = covertree.top_k(frame).collect()
+    assert len(wanted) == 5 * (6 + 4) and sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found) == sorted(wanted)
+
+
 def test_cover_tree_covers():
     points = np.random.default_rng(4).integers(-99, 99, (3000, 3)).astype(float)
 
