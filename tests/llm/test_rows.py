@@ -7,7 +7,7 @@ import pytest
 from compare import mismatch, oracle_connection
 from pyspark.sql import functions as F
 
-from rampart.llm import language, mixing, toxicity, urls
+from rampart.llm import language, mixing, stages, toxicity, urls
 from rampart.llm.queries import ORACLES, QUERIES, URL_RULES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -168,6 +168,15 @@ def test_toxicity_on_held_out_documents(spark):
     assert sum(bad) / len(bad) > 0.9 and sum(good) / len(good) < 0.03
 
 
+def test_toxicity_recall_at_the_threshold_of_the_pipeline(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    rows = QUERIES["op7_toxicity"](spark, sf_dir).where("held_out").collect()
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    hits = [(truth[r.doc_id], r.score >= stages.TOXIC) for r in rows if r.doc_id in truth]
+    bad, good = [p for t, p in hits if t == 1], [p for t, p in hits if t == 0]
+    assert sum(bad) / len(bad) > 0.9 and sum(good) / len(good) < 0.01
+
+
 def test_toxic_spans(spark, odd_docs, no_docs):
     rows = [(i, f"some words {i} then you awful zork and more words {i % 5}", 1) for i in range(60)]
     rows += [(100 + i, f"some words {i} then you kind friend and more words {i % 5}", 0) for i in range(120)]
