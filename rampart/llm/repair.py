@@ -2,7 +2,8 @@
 
 Documents are put in ascending order of id (NULL first, ties by text) and split into
 ranges; each range is a shard, written in blocks of about ``BLOCK_TOKENS`` ids.  A block
-holds a grammar: frequent pairs of symbols are replaced by new symbols, again and again,
+holds a grammar: frequent pairs of symbols are replaced by new symbols, in at most ``ROUNDS``
+rounds and only pairs with ``MIN_COUNT`` uses, until a round replaces under 0.5% of the symbols,
 and the rules and the number of ids that each rule expands to are stored.  A document
 begins and ends at a symbol, so one document (or a part of it) is decoded alone.
 
