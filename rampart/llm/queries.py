@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rampart.functions.session import fresh_path
-from rampart.llm import counts, covertree, language, minhash, mixing, packing, pq, repair, toxicity, urls
+from rampart.llm import counts, covertree, language, lloyd, minhash, mixing, packing, pq, repair, toxicity, urls, whitening, winnowing
 from rampart.llm.common import WORD, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,67 @@ def op9_language(spark, sf_dir):
 @query()
 def op10_trie_counts(spark, sf_dir):
     return counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op11_whitening(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), scale=64, offset=1_000_000, components=16)
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+_WORDS = f"regexp_extract_all(translate(text, '{urls.UPPER}', '{urls.UPPER.lower()}'), '{winnowing.ITEM_WORD}')"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+v AS (SELECT DISTINCT item_id, least(len(w), 10) AS l, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS k
+  FROM i, unnest(range(1, greatest(len(w) - 10, 0) + 2)) t(s) WHERE len(w) > 0),
+e AS (SELECT doc_id, s, l, array_to_string(w[s : s + l - 1], ' ') AS k FROM d, (SELECT DISTINCT l FROM v) n, unnest(range(1, len(w) - l + 2)) t(s)),
+m AS (SELECT doc_id, s, e.l, item_id FROM e JOIN v ON e.k = v.k),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, s, l FROM m) x, unnest(range(s, s + l)) t(p) GROUP BY doc_id),
+g AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id)
+SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN g USING (doc_id)"""
+)
+def op12_winnowing(spark, sf_dir):
+    found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def _lloyd_oracle(clusters: int = 8, rounds: int = 10) -> str:
+    """Assignments and centroids of all rounds, one after the other."""
+    nearest = """(SELECT id, x, cluster, distance FROM (SELECT v.id, v.x, c.cluster,
+  (list_inner_product(v.x, v.x) - 2 * list_inner_product(v.x, c.x) + list_inner_product(c.x, c.x))::BIGINT AS distance,
+  row_number() OVER (PARTITION BY v.id ORDER BY distance, c.cluster) AS place FROM v, {c} c) WHERE place = 1)"""
+    parts = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, [floor(1024 * y::DOUBLE) for y in embedding] AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y))) = 64)""",
+        f"""c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1)::INTEGER AS cluster, x
+  FROM v ORDER BY sha256('3:' || vec_id) LIMIT {clusters})""",
+    ]
+    for k in range(rounds):
+        parts.append(f"a{k} AS MATERIALIZED {nearest.format(c=f'c{k}')}")
+        parts.append(
+            f"""m{k} AS (SELECT cluster, i, sum(x[i]::BIGINT) AS s, count(*) AS n FROM a{k}, unnest(range(1, 65)) t(i) GROUP BY ALL),
+c{k + 1} AS MATERIALIZED (SELECT cluster, coalesce(y, x) AS x FROM c{k} LEFT JOIN
+  (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY i) AS y FROM m{k} GROUP BY cluster) USING (cluster))"""
+        )
+    return f"""WITH {", ".join(parts)}, a AS MATERIALIZED {nearest.format(c=f"c{rounds}")}
+SELECT v.vec_id, a.cluster, a.distance, (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+  (sum(a.distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string([y::BIGINT::VARCHAR for y in c.x], ',')) AS centroid_sha256
+FROM a JOIN v USING (id) JOIN c{rounds} c ON c.cluster = a.cluster"""
+
+
+@query(_lloyd_oracle())
+def op13_sharded_lloyd(spark, sf_dir):
+    return lloyd.cluster_vectors(table(spark, sf_dir, "embeddings"), width=64, scale=1024, clusters=8, rounds=10, seed=3)
