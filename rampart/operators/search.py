@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rampart.functions.session import fresh_path
+from rampart.sinks import forensic
+
 
 def search_events(
     table: DataFrame, where: str | Column = "true", args: dict | None = None, limit: int = 50
@@ -27,6 +30,32 @@ def events_of_vendor(table: DataFrame, vendor: str | None = None, limit: int = 5
     return search_events(table, F.col("vendor") == vendor if vendor else "true", limit=limit)
 
 
+def newest_events(
+    spark: SparkSession, path: str, where: str | Column = "true", args: dict | None = None, limit: int = 50
+) -> DataFrame:
+    """The same on a stored table, from its newest day backwards: one day, then two, then
+    four, until the limit is full.  Days before are not read.
+
+    What each step finds, at most ``limit`` rows, is stored in the shared folder.
+    """
+    state = forensic.manifest(spark, path)
+    if state is None:
+        raise FileNotFoundError(f"no forensic table at {path}")
+    days = state.days()[::-1]
+    found, first, width = [], 0, 1
+    missing = limit
+    while first < len(days) and missing > 0:
+        table = forensic.read_forensic(spark, path, days=days[first : first + width], state=state)
+        step = fresh_path(spark, "newest")
+        search_events(table, where, args, missing).write.parquet(step)
+        missing -= spark.read.parquet(step).count()
+        found.append(step)
+        first, width = first + width, 2 * width
+    if not found:
+        return forensic.read_forensic(spark, path, days=[], state=state)
+    return search_events(spark.read.parquet(*found), limit=limit)
+
+
 def matching_text(table: DataFrame, query: str) -> DataFrame:
     """Rows in which a text occurs in vendor, action, protocol or an address.
 

@@ -9,16 +9,13 @@ import warnings
 from collections.abc import Callable, Mapping
 from inspect import signature
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rampart.functions.session import fresh_path, remove
-from rampart.operators.export import event_members, forensic_rows, lake_rows, native_json
+from rampart.operators.export import event_members, lake_rows, native_json
 from rampart.operators.features import feature_matrix
-from rampart.schema import FORENSIC_COLUMNS
-
-# The forensic table is split by event id, so that an upsert touches whole parts.
-FORENSIC_BUCKETS = 64
+from rampart.sinks.forensic import compact_forensic, read_forensic, upsert_forensic
 
 
 def write_lake(events: DataFrame, path: str, *, batch_size: int | None = None, mode: str = "append") -> None:
@@ -67,72 +64,6 @@ def write_outbox(
     return seen.get["n"]
 
 
-def _forensic_writer(rows: DataFrame, mode: str) -> DataFrameWriter:
-    """Writer of forensic rows: files are sorted by vendor and address, so that their
-    statistics tell most row groups apart, with Bloom filters on what is looked up singly."""
-    writer = rows.sortWithinPartitions("id_bucket", "vendor", "src_ip").write.mode(mode).partitionBy("id_bucket")
-    for name in ("raw_hash", "src_ip", "dst_ip"):
-        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
-    return writer
-
-
-def newest_per_id(rows: DataFrame) -> DataFrame:
-    """One row per event id: the newest.  A plain aggregate, so many copies of one
-    id are already reduced before the shuffle."""
-    names = [c for c in rows.columns if c not in ("event_id", "ingestion_timestamp")]
-    newest = F.max(F.struct("ingestion_timestamp", *names)).alias("_row")
-    return rows.groupBy("event_id").agg(newest).select("event_id", "_row.*").select(*rows.columns)
-
-
-def upsert_forensic(events: DataFrame, path: str, *, fresh_ids: bool = False) -> None:
-    """Insert or replace forensic rows by event id in a Parquet table.
-
-    Only the buckets of the batch are rewritten: their new content goes to a fresh
-    folder first, then replaces them, so the table is never read and overwritten at
-    once and a lost job can be repeated.  ``fresh_ids`` says that the ids of the batch
-    are distinct and not in the table yet, which makes it a plain append.
-    """
-    spark = events.sparkSession
-    bucket = F.pmod(F.xxhash64("event_id"), F.lit(FORENSIC_BUCKETS)).cast("int").alias("id_bucket")
-    rows = forensic_rows(events)
-    if fresh_ids:
-        # Nothing to replace and nothing repeated: no shuffle.
-        _forensic_writer(rows.select("*", bucket), "append").parquet(path)
-        return
-    batch = newest_per_id(rows).select("*", bucket)
-    if not _exists(spark, path):
-        _forensic_writer(batch, "append").parquet(path)
-        return
-    staged_batch = fresh_path(spark, "forensic-batch")
-    batch.write.parquet(staged_batch)
-    batch = spark.read.parquet(staged_batch)
-    # At most FORENSIC_BUCKETS values reach the driver.
-    touched = [row.id_bucket for row in batch.select("id_bucket").distinct().collect()]
-    if not touched:
-        return
-    kept = (
-        spark.read.parquet(path)
-        .where(F.col("id_bucket").isin(touched))
-        .join(batch.select("id_bucket", "event_id"), ["id_bucket", "event_id"], "left_anti")
-    )
-    staged = fresh_path(spark, "forensic-merge")
-    columns = [*FORENSIC_COLUMNS, "id_bucket"]
-    kept.select(*columns).unionByName(batch.select(*columns)).write.partitionBy("id_bucket").parquet(staged)
-    merged = _forensic_writer(spark.read.parquet(staged), "overwrite")
-    merged.option("partitionOverwriteMode", "dynamic").parquet(path)
-    remove(spark, staged)
-    remove(spark, staged_batch)
-
-
-def read_forensic(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*FORENSIC_COLUMNS)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def per_batch(path: str, batch_id: int) -> str:
     """The folder of one micro-batch in a table; a sink that overwrites it may be called
     again for the same batch."""
@@ -163,3 +94,9 @@ def fan_out(
             outcome[name] = str(problem)
     remove(spark, path)
     return outcome
+
+
+__all__ = [
+    "write_lake", "write_jsonl", "write_features", "write_outbox", "fan_out", "per_batch",
+    "upsert_forensic", "read_forensic", "compact_forensic",
+]
