@@ -148,3 +148,19 @@ def private_sql(ipv4: str, ipv6: str) -> str:
         f" OR coalesce({in_networks_sql(ipv6, PRIVATE_IPV6)}"
         f" AND NOT {in_networks_sql(ipv6, PUBLIC_IPV6_EXCEPTIONS)}, false)"
     )
+
+
+def halves_sql(ipv4: str, ipv6: str) -> tuple[str, str]:
+    """The upper and lower 64 bits of an address (bigint, or hex) as bigints."""
+
+    def half(start: int) -> str:
+        return f"CAST(conv(substring({ipv6}, {start}, 16), 16, -10) AS BIGINT)"
+
+    return f"CASE WHEN {ipv4} IS NOT NULL THEN 0L ELSE {half(1)} END", f"coalesce({ipv4}, {half(17)})"
+
+
+def masked_sql(high: str, low: str, bits: str) -> tuple[str, str]:
+    """Both halves with all but the first ``bits`` of the 128 bits cleared."""
+    upper = f"CASE WHEN {bits} <= 0 THEN 0L WHEN {bits} >= 64 THEN {high} ELSE {high} & shiftleft(-1L, 64 - {bits}) END"
+    lower = f"CASE WHEN {bits} <= 64 THEN 0L WHEN {bits} >= 128 THEN {low} ELSE {low} & shiftleft(-1L, 128 - {bits}) END"
+    return upper, lower

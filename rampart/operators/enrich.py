@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rampart.functions import net
 from rampart.functions.plan import evaluate_once
 from rampart.functions.text import literal
-from rampart.operators.lookup import BROADCAST_BYTES, attach, prepared
+from rampart.functions.session import stored
+from rampart.operators.lookup import BROADCAST_BYTES, attach, by_value, found_values, prepared
 
 # Threat indicators shipped with the engine.
 INDICATORS = [
@@ -115,6 +116,154 @@ def place_index(table: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) ->
     return PlaceIndex(wide, narrow, wide_fits, narrow_fits)
 
 
+@dataclass(frozen=True)
+class PrefixIndex:
+    """Networks of both families and of any length, searched by prefix length.
+
+    ``table`` has a row per entry: its bits (as of 128, IPv4 last), both halves of its
+    address, and ``hit``, the first listed of all networks that hold it.  ``bits`` are the
+    lengths in use, per family.  An address is looked for by a binary search over them:
+    each network has marker entries at the shorter lengths where the search for it
+    passes, so an entry that is there sends the search to longer ones.
+    """
+
+    table: DataFrame
+    bits: tuple[tuple[int, ...], tuple[int, ...]]
+    broadcast: bool
+
+
+NETWORK_DDL = "list_order int, network string, country string, city string, asn string"
+
+
+def network_table(spark: SparkSession, networks) -> DataFrame:
+    """``(cidr, country, city, asn)`` tuples of both families, in order of precedence."""
+    rows = [(order, *row) for order, row in enumerate(networks)]
+    return spark.createDataFrame(rows, NETWORK_DDL)
+
+
+def _markers(lengths: tuple[int, ...]) -> dict[int, list[int]]:
+    """For each length the shorter ones where a binary search for it passes."""
+    passed: dict[int, list[int]] = {}
+    for wanted in lengths:
+        low, high, seen = 0, len(lengths) - 1, []
+        while low <= high:
+            middle = (low + high) // 2
+            if lengths[middle] == wanted:
+                break
+            if lengths[middle] < wanted:
+                seen.append(lengths[middle])
+                low = middle + 1
+            else:
+                high = middle - 1
+        passed[wanted] = seen
+    return passed
+
+
+def prefix_index(table: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) -> PrefixIndex:
+    """Index a table of networks of any size and family (schema ``NETWORK_DDL``).
+
+    A network is an address and, after a slash, its number of bits (none: one address).
+    Text that is no network, or has bits beyond its length, is an error.
+    """
+    bits_text = F.expr("try_cast(get(split(network, '/'), 1) AS INT)").alias("_bits")
+    parts = table.select("*", F.substring_index("network", "/", 1).alias("_ip"), bits_text)
+    parts = parts.select("*", F.expr(net.ipv4_long_sql("_ip")).alias("_v4"), F.expr(net.ipv6_hex_sql("_ip")).alias("_v6"))
+    high, low = net.halves_sql("_v4", "_v6")
+    width = "CASE WHEN _v4 IS NOT NULL THEN 32 WHEN _v6 IS NOT NULL THEN 128 END"
+    own = f"CASE WHEN contains(network, '/') THEN _bits ELSE {width} END"
+    parts = parts.select(
+        "list_order", "network", "country", "city", "asn",
+        F.expr("CASE WHEN _v4 IS NOT NULL THEN 4 ELSE 6 END").alias("family"),
+        F.expr(f"CASE WHEN {own} BETWEEN 0 AND {width} THEN {own} + 128 - {width} END").alias("bits"),
+        F.expr(high).alias("high"), F.expr(low).alias("low"),
+    )
+    kept = net.masked_sql("high", "low", "bits")
+    odd = parts.where(f"bits IS NULL OR high <> {kept[0]} OR low <> {kept[1]}").limit(1).collect()
+    if odd:
+        raise ValueError(f"not a network: {odd[0].network}")
+    # Of equal networks only the first listed can win.
+    first = F.min(F.struct("list_order", "country", "city", "asn")).alias("hit")
+    networks = stored(parts.groupBy("family", "bits", "high", "low").agg(first), "networks")
+    # At most 33 and 129 lengths.
+    found = networks.select("family", "bits").distinct().collect()
+    bits = tuple(tuple(sorted(r.bits for r in found if r.family == family)) for family in (4, 6))
+    marks, shorter = [], []
+    for family, lengths in zip((4, 6), bits):
+        for length, passed in _markers(lengths).items():
+            up_to = [b for b in lengths if b <= length]
+            test = f"WHEN family = {family} AND bits = {length} THEN"
+            marks.append(f"{test} array({', '.join(map(str, [*passed, length]))})")
+            shorter.append(f"{test} array({', '.join(map(str, up_to))})")
+    if not found:
+        return PrefixIndex(networks.select("family", "bits", "high", "low", "hit"), bits, True)
+
+    def cut(rows: DataFrame, to: list[str], name: str) -> DataFrame:
+        rows = rows.withColumn(name, F.explode(F.expr(f"CASE {' '.join(to)} END")))
+        upper, lower = net.masked_sql("high", "low", name)
+        return rows.select("*", F.expr(upper).alias(f"{name}_high"), F.expr(lower).alias(f"{name}_low"))
+
+    entries = cut(networks, marks, "at").select("family", F.col("at").alias("bits"), F.col("at_high").alias("high"), F.col("at_low").alias("low")).distinct()
+    holders = networks.select("family", F.col("bits").alias("in"), F.col("high").alias("in_high"), F.col("low").alias("in_low"), "hit")
+    held = cut(entries, shorter, "in").join(holders, ["family", "in", "in_high", "in_low"], "left")
+    best = held.groupBy("family", "bits", "high", "low").agg(F.min("hit").alias("hit"))
+    kept_table, fits = prepared(best, broadcast_bytes)
+    return PrefixIndex(kept_table, bits, fits)
+
+
+def _place_by_prefix(df: DataFrame, v4: str, v6: str, private: str, index: PrefixIndex) -> DataFrame:
+    """Add ``_hit``: the first listed network with the address, by a join per step of the
+    search; private and invalid addresses look for nothing."""
+    base = df.columns
+    high, low = net.halves_sql(v4, v6)
+    family = f"CASE WHEN {private} THEN NULL WHEN {v4} IS NOT NULL THEN 4 WHEN {v6} IS NOT NULL THEN 6 END"
+    none = F.lit(None).cast(index.table.schema["hit"].dataType)
+    df = df.select(
+        "*", F.expr(family).alias("_family"), F.expr(high).alias("_high"), F.expr(low).alias("_low"),
+        F.lit(0).alias("_from"), F.expr(f"CASE WHEN {family} = 4 THEN {len(index.bits[0])} ELSE {len(index.bits[1])} END - 1").alias("_to"),
+        none.alias("_hit"),
+    )
+    entry = [F.col(c).alias(f"_e_{c}") for c in ("family", "bits", "high", "low", "hit")]
+    side = index.table.select(*entry, F.lit(True).alias("_there"))
+    side = F.broadcast(side) if index.broadcast else side
+    lists = [f"array({', '.join(map(str, b))})" if b else "CAST(array() AS ARRAY<INT>)" for b in index.bits]
+    for _ in range(max(len(b) for b in index.bits).bit_length()):
+        middle = "CAST(floor((_from + _to) / 2) AS INT)"
+        at = f"CASE WHEN _from <= _to THEN get(CASE WHEN _family = 4 THEN {lists[0]} ELSE {lists[1]} END, {middle}) END"
+        asked = df.withColumn("_middle", F.expr(middle)).withColumn("_at", F.expr(at))
+        upper, lower = net.masked_sql("_high", "_low", "_at")
+        asked = asked.withColumn("_k_high", F.expr(upper)).withColumn("_k_low", F.expr(lower))
+        same = (
+            (asked["_family"] == side["_e_family"]) & (asked["_at"] == side["_e_bits"])
+            & (asked["_k_high"] == side["_e_high"]) & (asked["_k_low"] == side["_e_low"])
+        )
+        joined = asked.join(side, same, "left")
+        there = F.coalesce("_there", F.lit(False))
+        df = joined.select(
+            *base, "_family", "_high", "_low",
+            F.when(there, F.col("_middle") + 1).otherwise(F.col("_from")).alias("_from"),
+            F.when(there, F.col("_to")).otherwise(F.col("_middle") - 1).alias("_to"),
+            F.when(there, F.col("_e_hit")).otherwise(F.col("_hit")).alias("_hit"),
+        )
+    return df.select(*base, "_hit")
+
+
+def _in_memory(index: PlaceIndex | PrefixIndex | None) -> bool:
+    """Whether looking up an address needs no shuffle."""
+    if isinstance(index, PrefixIndex):
+        return index.broadcast
+    return index is None or (index.wide_broadcast and index.narrow_broadcast)
+
+
+def _resolved_places(values: DataFrame, index: PlaceIndex | PrefixIndex) -> DataFrame:
+    """The distinct addresses (value) that are in a listed network, and the network."""
+    addressed = evaluate_once(with_address(values, "value", "a"))
+    if isinstance(index, PrefixIndex):
+        placed = _place_by_prefix(addressed, "a_v4", "a_v6", "a_private", index)
+    else:
+        placed = _place_from_index(addressed, "a_v4", "a_private", index)
+    return placed.where("_hit IS NOT NULL").select("value", F.struct("_hit.country", "_hit.city", "_hit.asn").alias("hit"))
+
+
 def with_address(df: DataFrame, ip: str, prefix: str) -> DataFrame:
     """Add numeric address, internal flag and private flag of one IP column."""
     v4, v6 = f"{prefix}_v4", f"{prefix}_v6"
@@ -130,14 +279,20 @@ def with_address(df: DataFrame, ip: str, prefix: str) -> DataFrame:
     )
 
 
-def with_place(df: DataFrame, prefix: str, index: PlaceIndex | None) -> DataFrame:
+def with_place(df: DataFrame, prefix: str, index: PlaceIndex | PrefixIndex | None, found: str | None = None) -> DataFrame:
     """Add country, city and asn of an address prepared by ``with_address``.
 
+    ``found`` names a column that has the network already.
+
     Without an index the shipped networks are used as literals: ten range tests
     that are dropped from any query not asking for places, which a join is not.
     """
     v4, v6 = f"{prefix}_v4", f"{prefix}_v6"
-    if index is None:
+    if found is not None:
+        placed = df.withColumnRenamed(found, "_hit")
+    elif isinstance(index, PrefixIndex):
+        placed = _place_by_prefix(df, v4, v6, f"{prefix}_private", index)
+    elif index is None:
         tests = []
         for cidr, country, city, asn in PLACES:
             lo, hi = net.ipv4_bounds(cidr)
@@ -155,7 +310,7 @@ def with_place(df: DataFrame, prefix: str, index: PlaceIndex | None) -> DataFram
         )
 
     return placed.select(
-        *df.columns,
+        *[c for c in df.columns if c != found],
         *[
             F.expr(part(name, i)).alias(f"{prefix}_{name}")
             for i, name in enumerate(("country", "city", "asn"))
@@ -207,26 +362,44 @@ def direction_sql(src: str, dst: str) -> str:
     )
 
 
-def with_network_context(df: DataFrame, index: PlaceIndex | None = None) -> DataFrame:
-    """Add internal flags, places and ``direction`` from ``src_ip`` and ``dst_ip``."""
+def with_network_context(
+    df: DataFrame, index: PlaceIndex | PrefixIndex | None = None, *, source: DataFrame | None = None
+) -> DataFrame:
+    """Add internal flags, places and ``direction`` from ``src_ip`` and ``dst_ip``.
+
+    An index that is too large for a broadcast is asked about distinct addresses; for that
+    the rows are stored first, unless ``source`` is a stored table with both addresses.
+    """
+    large = not _in_memory(index) and not df.isStreaming
+    if large and source is None:
+        df = source = stored(df, "addresses")
     base = df.columns
+    if large:
+        df = by_value(df, ["src_ip", "dst_ip"], lambda values: _resolved_places(values, index), source=source)
     for prefix in ("src", "dst"):
         df = with_address(df, f"{prefix}_ip", prefix)
     df = evaluate_once(df)
     for prefix in ("src", "dst"):
-        df = with_place(df, prefix, index)
+        df = with_place(df, prefix, index, f"_hit_{prefix}_ip" if large else None)
     df = evaluate_once(df)
     keep = [f"{p}_{c}" for p in ("src", "dst") for c in ("is_internal", "country", "city", "asn")]
     return df.select(*base, *keep, F.expr(direction_sql("src", "dst")).alias("direction"))
 
 
 def with_indicator(
-    df: DataFrame, indicators: DataFrame | None = None, *, mode: str = "air_gapped", broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame,
+    indicators: DataFrame | Indicators | None = None,
+    *,
+    mode: str = "air_gapped",
+    broadcast_bytes: int = BROADCAST_BYTES,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``indicator``: the threat known for ``src_ip``, else for ``dst_ip``.
 
-    The shipped indicators are a literal map.  A table of any size is joined
-    instead, by broadcast if its checked size allows, else on salted keys.
+    The shipped indicators are a literal map.  A table of any size is joined instead, by
+    broadcast if its checked size allows.  A larger one is asked about the distinct
+    addresses, for which the rows are stored first unless ``source`` is a stored table
+    with both addresses; of a stream, rows are joined on salted keys.
     """
     tag = FEED_TAG.get(mode, FEED_TAG["air_gapped"])
     if indicators is None:
@@ -245,21 +418,47 @@ def with_indicator(
                 f"coalesce(try_element_at({known}, src_ip), try_element_at({known}, dst_ip))"
             ).alias("indicator"),
         )
-    hit = F.struct(
-        "signature_id",
-        F.concat("signature_name", F.lit(tag)).alias("signature_name"),
-        "category",
-        "cve",
-        "threat_actor",
-        F.col("ip").alias("indicator_matched"),
-        "confidence_score",
-    )
-    # One row per address: with repeats, the alphabetically first signature counts.
-    table, broadcast = prepared(indicators.groupBy("ip").agg(F.min(hit).alias("hit")), broadcast_bytes)
+    known = indicators if isinstance(indicators, Indicators) else prepared_indicators(indicators, broadcast_bytes)
+    tagged = _tagged(F.col("hit"), tag)
+    table = known.table.select("ip", tagged.alias("hit"))
     base = df.columns
+    if not known.broadcast and not df.isStreaming:
+        if source is None:
+            df = source = stored(df, "addresses")
+        df = by_value(
+            df, ["src_ip", "dst_ip"], lambda values: found_values(values, table, "ip", F.col("hit")), source=source, limit=broadcast_bytes
+        )
+        return df.select(*base, F.coalesce("_hit_src_ip", "_hit_dst_ip").alias("indicator"))
     for side in ("src", "dst"):
         df = attach(
             df, table.withColumnRenamed("hit", f"_{side}_hit"), f"{side}_ip", "ip", f"_{side}_hit",
-            broadcast=broadcast,
+            broadcast=known.broadcast,
         )
     return df.select(*base, F.coalesce("_src_hit", "_dst_hit").alias("indicator"))
+
+
+@dataclass(frozen=True)
+class Indicators:
+    """A threat table with one row per address (ip, hit), stored, and whether it may be
+    broadcast.  Prepared once, it serves many batches of a stream."""
+
+    table: DataFrame
+    broadcast: bool
+
+
+def prepared_indicators(indicators: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Indicators:
+    """One row per address: with repeats, the alphabetically first signature counts."""
+    hit = F.struct(
+        "signature_id", "signature_name", "category", "cve", "threat_actor",
+        F.col("ip").alias("indicator_matched"), "confidence_score",
+    )
+    return Indicators(*prepared(indicators.groupBy("ip").agg(F.min(hit).alias("hit")), broadcast_bytes))
+
+
+def _tagged(hit: Column, tag: str) -> Column:
+    return hit.withField("signature_name", F.concat(hit["signature_name"], F.lit(tag)))
+
+
+def asks_distinct(index: PlaceIndex | PrefixIndex | None, indicators: Indicators | None) -> bool:
+    """Whether one of the tables is too large for a broadcast."""
+    return not _in_memory(index) or (indicators is not None and not indicators.broadcast)

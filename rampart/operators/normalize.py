@@ -22,8 +22,13 @@ from rampart.functions.text import (
     strip_sql,
 )
 from rampart.operators.classify import with_parser
+from rampart.functions.session import stored
 from rampart.operators.enrich import (
+    Indicators,
     PlaceIndex,
+    PrefixIndex,
+    asks_distinct,
+    prepared_indicators,
     with_indicator,
     with_network_context,
 )
@@ -261,8 +266,8 @@ def normalize(
     specs: SpecSet | None = None,
     parser_id: str | None = None,
     mode: str = "air_gapped",
-    indicators: DataFrame | None = None,
-    places: PlaceIndex | None = None,
+    indicators: DataFrame | Indicators | None = None,
+    places: PlaceIndex | PrefixIndex | None = None,
     collector_id: str = DEFAULT_COLLECTOR,
     id_cols: list[str] | None = None,
     ingested_at: Column | None = None,
@@ -275,13 +280,18 @@ def normalize(
     ``specs``        parser specs (default: the shipped ones)
     ``parser_id``    parser to use for every line instead of classifying
     ``mode``         ``air_gapped`` or ``internet``; tags indicator names
-    ``indicators``   threat table keyed by ``ip`` (default: the shipped one)
-    ``places``       result of ``place_index`` (default: the shipped networks)
+    ``indicators``   threat table keyed by ``ip``, or the result of
+                     ``prepared_indicators`` (default: the shipped one)
+    ``places``       result of ``place_index`` or ``prefix_index`` (default: the shipped
+                     networks)
     ``id_cols``      input columns that identify a row, for repeatable event ids
     ``ingested_at``  ingestion time (default: start of the query)
     ``keep``         input columns to pass through
     ``details``      also return ``confidence``, ``fields``, ``syslog_meta`` and
                      ``json_literals``
+
+    With a lookup table too large for a broadcast, a batch of events is stored in the
+    shared folder between parsing and the lookups, so lines are parsed once.
     """
     specs = shipped_specs() if specs is None else specs
     keep = list(keep or [])
@@ -294,7 +304,13 @@ def normalize(
     # The event id is fixed here, before anything that could be evaluated twice.
     parsed = evaluate_once(with_fields(with_parser(source, specs, parser_id=parser_id), specs))
     typed = with_typed_values(evaluate_once(with_source_values(parsed, specs)), specs)
-    matched = with_indicator(with_network_context(evaluate_once(typed), places), indicators, mode=mode)
+    if isinstance(indicators, DataFrame):
+        indicators = prepared_indicators(indicators)
+    typed, kept_rows = evaluate_once(typed), None
+    if not typed.isStreaming and asks_distinct(places, indicators):
+        typed = kept_rows = stored(typed, "parsed")
+    placed = with_network_context(typed, places, source=kept_rows)
+    matched = with_indicator(placed, indicators, mode=mode, source=kept_rows)
     return _as_event(evaluate_once(matched), collector_id, keep, details)
 
 

@@ -8,8 +8,9 @@ from rampart.functions.session import fresh_path
 from rampart.operators import enrich, export
 from rampart.operators.normalize import normalize
 from rampart.plans.lines import SEED_CTE, table
-from rampart.plans.queries import _PLACES, addresses, events, expect, query
+from rampart.plans.queries import _PLACES, addresses, events, expect, query, streamed
 from rampart.sinks import writers
+from rampart.streaming import jobs
 
 _WIDE_SPACE = "　"
 
@@ -127,3 +128,60 @@ def ioc_join_shuffled(spark, sf_dir):
     known = enrich.indicator_table(spark)
     found = enrich.with_indicator(addresses(spark, sf_dir), known, broadcast_bytes=0)
     return found.select("event_id", F.col("indicator.indicator_matched").alias("matched"))
+
+
+@query(f"WITH {SEED_CTE} {_PLACES}")
+def geo_prefix_join(spark, sf_dir):
+    """Place lookup by a binary search over prefix lengths, joined by broadcast."""
+    index = enrich.prefix_index(enrich.network_table(spark, enrich.PLACES))
+    return enrich.with_network_context(addresses(spark, sf_dir), index).drop("src_ip", "dst_ip")
+
+
+_MIXED = [
+    ("2001:4860:5000::/36", "V6-INNER", "a", "AS1"),
+    ("2001:4860::/32", "V6-OUTER", "b", "AS2"),
+    ("2001:4860:4000::/36", "V6-LATE", "c", "AS3"),
+    ("2a00:1450:4000::/37", "V6-HALF", "d", "AS4"),
+    ("20.128.0.0/9", "V4-HIGH", "e", "AS5"),
+    ("20.0.0.0/8", "V4-ALL", "f", "AS6"),
+    ("20.7.0.1", "V4-LATE", "g", "AS7"),
+]
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CASE WHEN user_id % 10 = 5 THEN 'V6-INNER' ELSE 'V6-OUTER' END
+WHEN event_id % 10 <= 7 THEN 'V6-HALF' ELSE 'GLOBAL' END AS src_country, CASE WHEN event_id % 250 >= 128 THEN 'V4-HIGH' ELSE 'V4-ALL' END AS dst_country,
+CASE WHEN event_id % 250 >= 128 THEN 'AS5' ELSE 'AS6' END AS dst_asn FROM events""")
+def geo_mixed_families(spark, sf_dir):
+    """IPv4 and IPv6 networks of many lengths in one table, asked about distinct addresses."""
+    source = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.expr("""CASE WHEN event_id % 2 = 0 THEN '2001:4860:' || user_id % 10 || '000::' || event_id % 1000
+            ELSE '2A00:1450:4' || event_id % 10 || '00:0:0:0:0:' || user_id % 1000 END""").alias("src_ip"),
+        F.expr("'20.' || event_id % 250 || '.0.1'").alias("dst_ip"),
+    )
+    index = enrich.prefix_index(enrich.network_table(spark, _MIXED), broadcast_bytes=0)
+    return enrich.with_network_context(source, index).select("event_id", "src_country", "dst_country", "dst_asn")
+
+
+@query(expect("""SELECT event_id, src_country, src_asn, dst_country, e_direction AS direction, threat_id, threat_indicator, e_severity AS severity FROM expected"""))
+def stream_with_tables(spark, sf_dir):
+    """Micro-batches that are enriched from a network and an indicator table too large to
+    broadcast; the tables are prepared once for all batches."""
+    path = fresh_path(spark, "rows")
+    places = enrich.prefix_index(enrich.network_table(spark, enrich.PLACES), broadcast_bytes=0)
+    indicators = enrich.prepared_indicators(enrich.indicator_table(spark), broadcast_bytes=0)
+    run = jobs.stream_to_sinks(
+        streamed(spark, sf_dir), {"rows": lambda batch: batch.write.mode("append").parquet(path)}, fresh_path(spark, "progress"),
+        once=True, id_cols=["event_id"], keep=["event_id"], places=places, indicators=indicators,
+    )
+    run.awaitTermination()
+    return spark.read.parquet(path).select(
+        "event_id",
+        F.col("src_endpoint.country").alias("src_country"),
+        F.col("src_endpoint.asn").alias("src_asn"),
+        F.col("dst_endpoint.country").alias("dst_country"),
+        "connection_info.direction",
+        F.col("threat.signature_id").alias("threat_id"),
+        F.col("threat.indicator_matched").alias("threat_indicator"),
+        "severity",
+    )

@@ -747,7 +747,7 @@ def indexed_lookup(spark, sf_dir):
     return found.select("raw_hash", "dst_ip", "severity")
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = table(spark, sf_dir, "events")
     schema = T.StructType(stored.schema.fields)
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -759,7 +759,7 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_normalize(spark, sf_dir):
     path = fresh_path(spark, "stream")
     run = jobs.stream_events(
-        _streamed(spark, sf_dir), path, fresh_path(spark, "progress"), once=True, id_cols=["event_id"], keep=["event_id"]
+        streamed(spark, sf_dir), path, fresh_path(spark, "progress"), once=True, id_cols=["event_id"], keep=["event_id"]
     )
     run.awaitTermination()
     return spark.read.parquet(path).select(
@@ -771,7 +771,7 @@ def stream_normalize(spark, sf_dir):
 def stream_counts(spark, sf_dir):
     """Running counters: the last state of each counter in complete mode."""
     path = fresh_path(spark, "counts")
-    counts = jobs.running_counts(normalize(_streamed(spark, sf_dir)))
+    counts = jobs.running_counts(normalize(streamed(spark, sf_dir)))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(path)
@@ -805,7 +805,7 @@ def stream_fan_out(spark, sf_dir):
     }
     outcomes: list[dict] = []
     run = jobs.stream_to_sinks(
-        _streamed(spark, sf_dir), sinks, fresh_path(spark, "progress"), once=True,
+        streamed(spark, sf_dir), sinks, fresh_path(spark, "progress"), once=True,
         on_batch=lambda batch_id, outcome: outcomes.append(outcome), id_cols=["event_id"], keep=["event_id"],
     )
     run.awaitTermination()
