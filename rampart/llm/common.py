@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,16 +40,49 @@ def staged_twice(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_CHARS) -> Iterator[tuple[int, list[str]]]:
-    """First row and texts (NULL: empty) of runs of rows with about ``limit`` characters."""
-    texts = [text or "" for text in batch.column(column).to_pylist()]
-    first = size = 0
-    for row, text in enumerate(texts):
-        size += len(text)
-        if size >= limit:
-            yield first, texts[first : row + 1]
-            first, size = row + 1, 0
-    if first < len(texts):
-        yield first, texts[first:]
+    """First row and texts (NULL: empty) of runs of rows with about ``limit`` bytes.  Only
+    the texts of one run are in memory as Python strings."""
+    texts = batch.column(column)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first, done = 0, 0
+    while first < len(ends):
+        # Up to the row that reaches the limit, itself included.
+        last = min(len(ends), int(np.searchsorted(ends, done + limit)) + 1)
+        yield first, [text or "" for text in texts.slice(first, last - first).to_pylist()]
+        first, done = last, int(ends[last - 1])
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The same for ``mapInArrow``, giving memory back to the machine after each task: a
+    worker process lives on, and would keep the greatest peak of all its tasks."""
+
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from function(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            # Of the C library, where there is such a call.
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside hand at most so many rows at once to Python: for wide rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def with_offsets(rows: DataFrame, part: str, total: str, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rampart.llm.common import slices, staged
+from rampart.llm.common import lean, slices, staged
 
 TRAIN_ROWS = 20_000
 HASH_BITS = 16
@@ -231,4 +231,4 @@ def detect(docs: DataFrame, model: LanguageModel, *, keep: tuple[str, ...] = ("d
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "lang_score", "ambiguous"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return rows.mapInArrow(predict, f"{schema}, lang_pred string, lang_score double, ambiguous boolean")
+    return rows.mapInArrow(lean(predict), f"{schema}, lang_pred string, lang_score double, ambiguous boolean")

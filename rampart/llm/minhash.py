@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rampart.llm.common import WORD, slices, staged
+from rampart.llm.common import WORD, arrow_rows, lean, slices, staged
 from rampart.llm.components import attach, components, least_members
 from rampart.llm.urls import UPPER
 
@@ -47,7 +47,9 @@ ROWS, BANDS = 6, 32
 MARGIN = 0.14
 SMALL_BUCKET = 32
 LEFT_BLOCK, RIGHT_BLOCK = 256, 1024
-_COLUMNS = 8_192
+_COLUMNS = 4_096
+# A row of two whole sets can take some 300 KB.
+_PAIR_ROWS = 500
 # At so many remembered word hashes the memory of a worker starts afresh.
 MEMORY = 200_000
 _SLICE = 400_000
@@ -147,7 +149,7 @@ def with_nodes(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
             columns = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 3
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, "_node", "_other", "_shingles"])
 
-    return docs.mapInArrow(mark, f"{schema}, {added}")
+    return docs.mapInArrow(lean(mark), f"{schema}, {added}")
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
@@ -179,7 +181,7 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                 )
         _HASHES.clear()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, out)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(sign), out)
 
 
 def _node_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -202,7 +204,7 @@ def _node_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "signature", "shingles"])
 
-    found = rows.select("node", "signature", "text").mapInArrow(collect, "node long, signature binary, shingles binary")
+    found = rows.select("node", "signature", "text").mapInArrow(lean(collect), "node long, signature binary, shingles binary")
     return found.dropDuplicates(["node"])
 
 
@@ -228,7 +230,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             taken = pa.array(good, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("u").take(taken), batch.column("v").take(taken)], names=["u", "v"])
 
-    return rows.mapInArrow(verify, "u long, v long")
+    return rows.mapInArrow(lean(verify), "u long, v long")
 
 
 def _pairs(left: str, right: str) -> list:
@@ -330,7 +332,9 @@ def link_nodes(docs: DataFrame, signed: DataFrame, *, words: int, percent: int)
     middle = F.max(F.struct("weight", "node"))["node"].alias("hub")
     hubs = members.groupBy("key").agg(F.count("*").alias("n_rows"), middle)
     pairs = staged(attach(members, hubs, "key", size).where("node <> hub").select(*_pairs("node", "hub")).distinct(), "pairs")
-    labels = staged(components(staged(_verified(pairs, sets, percent), "verified")), "labels")
+    with arrow_rows(docs.sparkSession, _PAIR_ROWS):
+        verified = staged(_verified(pairs, sets, percent), "verified")
+    labels = staged(components(verified), "labels")
 
     found = members.join(labels, "node", "left").select("key", "node", "weight", F.coalesce("component", "node").alias("label"))
     marked = staged(found, "marked")
@@ -348,7 +352,8 @@ def link_nodes(docs: DataFrame, signed: DataFrame, *, words: int, percent: int)
     )
     others = others.select("*", F.col("n_rows").alias("bucket"))
     large = attach(large.drop("bucket_rows"), others, "key", size).withColumnRenamed("bucket", "n_rows")
-    links = staged(links.union(_block_links(large, sets, percent)), "more-links")
+    with arrow_rows(docs.sparkSession, _PAIR_ROWS):
+        links = staged(links.union(_block_links(large, sets, percent)), "more-links")
     if links.isEmpty():
         return labels
     # What hangs together already is a star, so old links need not be looked at again.

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rampart.llm.common import slices, staged, with_offsets
+from rampart.llm.common import lean, slices, staged, with_offsets
 from rampart.llm.encoding import encoder
 
 _TOKENS = "part int, doc_id long, part_start long, doc_tokens long, ids binary"
@@ -60,7 +60,7 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int, added_tokens:
                 )
                 before += int(stops[-1])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, _TOKENS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(encode), _TOKENS)
 
 
 def pack(

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rampart.llm.common import WORD, slices
+from rampart.llm.common import WORD, lean, slices
 
 TRAIN_ROWS = 1_500
 FEATURE_BITS = 18
@@ -320,7 +320,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, keep: tuple[str, ...] = ("do
 
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return rows.mapInArrow(judge, f"{schema}, {out}")
+    return rows.mapInArrow(lean(judge), f"{schema}, {out}")
 
 
 def _spans(text: str, odds: np.ndarray) -> list[dict]:
