@@ -155,7 +155,7 @@ def with_nodes(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
 def _signed(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, node, other, n_shingles, signature and band keys of every document; those
     of empty sets are NULL."""
-    out = f"doc_id long, {_SETS}, signature binary, bands array<long>"
+    out = f"doc_id long, digest long, {_SETS}, signature binary, bands array<long>"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,39 +172,55 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                         blobs[i] = row.astype(np.uint16).tobytes()
                 node, other = zip(*map(_identity, sets))
                 columns = [
-                    batch.column("doc_id").slice(first, len(texts)), pa.array(node), pa.array(other),
+                    batch.column("doc_id").slice(first, len(texts)), batch.column("digest").slice(first, len(texts)),
+                    pa.array(node), pa.array(other),
                     pa.array([len(s) for s in sets], pa.int64()), pa.array(blobs, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    columns, names=["doc_id", "node", "other", "n_shingles", "signature", "bands"]
+                    columns, names=["doc_id", "digest", "node", "other", "n_shingles", "signature", "bands"]
                 )
         _HASHES.clear()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(sign), out)
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("digest"), "text")
+    return rows.mapInArrow(lean(sign), out)
+
+
+def _told_apart(signed: DataFrame) -> DataFrame:
+    """``signed`` with a column ``of_set``: ``node``, but another number for all but one of
+    different sets whose ``node`` is equal by chance."""
+    first = signed.groupBy("node").agg(F.min("other").alias("first"), F.max("other").alias("last"))
+    clash = staged(first.where("first <> last").select(F.col("node").alias("_node"), "first"), "clashes")
+    if clash.isEmpty():
+        return signed.withColumn("of_set", F.col("node"))
+    found = signed.join(clash, signed["node"] == clash["_node"], "left")
+    of_set = F.when(F.col("first") < F.col("other"), F.xxhash64("node", "other")).otherwise(F.col("node"))
+    return staged(found.select(*signed.columns, of_set.alias("of_set")), "told-apart")
 
 
 def _node_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """node, signature and full set of the nodes of ``wanted`` (node, doc_id, signature)."""
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(
-        wanted.select(F.col("doc_id").alias("_wanted"), "node", "signature"), F.col("doc_id").eqNullSafe(F.col("_wanted"))
-    )
+    """of_set, signature and full set of the nodes of ``wanted`` (of_set, node, doc_id,
+    digest, signature).  Documents are told by id and text, so many under one id (or none)
+    meet only their own rows."""
+    keyed = wanted.select(F.col("doc_id").alias("_wanted"), F.col("digest").alias("_digest"), "of_set", "node", "signature")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("digest"), "text")
+    rows = rows.join(keyed, F.col("doc_id").eqNullSafe(F.col("_wanted")) & (F.col("digest") == F.col("_digest")))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, marks = batch.column("node").to_pylist(), batch.column("signature")
+            nodes, marks, numbers = batch.column("node").to_pylist(), batch.column("signature"), batch.column("of_set")
             for first, texts in slices(batch, "text", _SLICE):
                 sets = shingle_sets(texts, words)
                 # Of rows with one id, the one whose set it is.
                 good = [i for i, s in enumerate(sets) if _identity(s)[0] == nodes[first + i]]
                 places = pa.array([first + i for i in good], pa.int64())
                 columns = [
-                    pa.array([nodes[first + i] for i in good], pa.int64()), marks.take(places),
+                    numbers.take(places), marks.take(places),
                     pa.array([sets[i].tobytes() for i in good], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "signature", "shingles"])
 
-    found = rows.select("node", "signature", "text").mapInArrow(lean(collect), "node long, signature binary, shingles binary")
+    found = rows.select("node", "of_set", "signature", "text").mapInArrow(lean(collect), "node long, signature binary, shingles binary")
     return found.dropDuplicates(["node"])
 
 
@@ -315,9 +331,9 @@ def _intersections(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
 
 def link_nodes(docs: DataFrame, signed: DataFrame, *, words: int, percent: int) -> DataFrame | None:
     """Rows (node, component) of the nodes that link with another; None if none does."""
-    distinct = signed.where("n_shingles > 0").select("doc_id", "node", "signature", "bands").dropDuplicates(["node"])
+    distinct = signed.where("n_shingles > 0").select("doc_id", "digest", "of_set", "node", "signature", "bands").dropDuplicates(["of_set"])
     nodes = staged(distinct, "nodes")
-    keyed = nodes.select("node", F.explode("bands").alias("key"))
+    keyed = nodes.select(F.col("of_set").alias("node"), F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
     shared = shared.withColumn("bucket_rows", F.col("n_rows"))
     buckets = staged(attach(keyed, shared, "key", BANDS * nodes.count()), "buckets")
@@ -326,7 +342,7 @@ def link_nodes(docs: DataFrame, signed: DataFrame, *, words: int, percent: int)
         return None
     weights = buckets.groupBy("node").agg(F.sum("bucket_rows").alias("weight"))
     members = staged(buckets.join(weights, "node"), "members")
-    wanted = nodes.join(weights, "node", "left_semi").select("doc_id", "node", "signature")
+    wanted = nodes.join(weights, nodes["of_set"] == weights["node"], "left_semi")
     sets = staged(_node_sets(docs, wanted, words), "sets")
 
     middle = F.max(F.struct("weight", "node"))["node"].alias("hub")
@@ -368,9 +384,9 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
 
     Sets link if 100 * intersection >= percent * union.
     """
-    signed = staged(_signed(docs, words), "signed")
+    signed = _told_apart(staged(_signed(docs, words), "signed"))
     labels = link_nodes(docs, signed, words=words, percent=percent)
-    rows = signed.select("doc_id", "n_shingles", "node", "other")
+    rows = signed.select("doc_id", "n_shingles", F.col("of_set").alias("node"), "other", F.col("node").alias("print"))
     # One row per node; nodes without words stand alone by row.
     nodes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows"))
     if labels is not None:
@@ -386,4 +402,4 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     alone = rows.where("n_shingles = 0").select("*", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group"))
     both = found.unionByName(alone)
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
-    return both.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "group", "node", "other")
+    return both.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "group", F.col("print").alias("node"), "other")

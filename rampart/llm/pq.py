@@ -42,6 +42,7 @@ SUBSPACES = 8
 CODES = 256
 BLOCK = 1_024
 _SLACK = 1e-6
+_DRAW = (1 << 62) - 1
 
 
 def usable(vector: Column) -> Column:
@@ -78,8 +79,6 @@ class Quantiser:
         self.parts = parts
         residual = sample - self.centers[own]
         self.books = [_k_means(residual[:, p], CODES) for p in parts]
-        apart = ((self.centers[:, None] - self.centers[None]) ** 2).sum(axis=2) if len(self.centers) <= 256 else None
-        self.apart = np.sqrt(apart) if apart is not None else None
 
     def encode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """List, codes and coding error of each vector."""
@@ -93,11 +92,16 @@ class Quantiser:
 
     def probes(self, unit: np.ndarray, own: np.ndarray, radius: float) -> list[np.ndarray]:
         """The lists that can hold a vector within ``radius``, per vector."""
+        norms = (self.centers**2).sum(axis=1)
         found = []
-        for vector, i in zip(unit, own):
-            square = ((vector - self.centers) ** 2).sum(axis=1)
-            apart = self.apart[i] if self.apart is not None else np.sqrt(((self.centers - self.centers[i]) ** 2).sum(axis=1))
-            found.append(np.flatnonzero(square - square[i] <= 2 * (radius + _SLACK) * apart + _SLACK))
+        for first in range(0, len(unit), 512):
+            rows, mine = unit[first : first + 512], own[first : first + 512]
+            # Squared distances but for the vector's own norm.
+            square = norms - 2 * rows @ self.centers.T
+            apart = norms + norms[mine, None] - 2 * self.centers[mine] @ self.centers.T
+            near = square - square[np.arange(len(rows)), mine][:, None] <= 2 * (radius + _SLACK) * np.sqrt(np.maximum(apart, 0)) + _SLACK
+            places, cells = np.nonzero(near)
+            found += np.split(cells, np.searchsorted(places, np.arange(1, len(rows))))
         return found
 
     def distances(self, unit: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
@@ -115,7 +119,14 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in column])
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two near their greatest component: an exact step, but for
+    components too small to count, after which no square over- or underflows."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
+
+
 def _units(rows: np.ndarray) -> np.ndarray:
+    rows = _scaled(rows)
     return rows / np.sqrt((rows**2).sum(axis=1, keepdims=True))
 
 
@@ -133,17 +144,19 @@ def near_vectors(
     same = ["label", "embedding"]
     nodes = good.groupBy("node", *same).agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
     nodes = staged(nodes.withColumn("width", F.size("embedding")), "vector-nodes")
-    shape = nodes.groupBy("width").agg(F.count("*"), F.approx_count_distinct("label")).collect()
+    labels = nodes.groupBy("width", "label").agg(F.count("*").alias("rows"))
+    shape = labels.groupBy("width").agg(F.sum("rows"), F.max("rows")).collect()
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
     found = None
-    for width, count, labels in shape:
+    for width, count, most in shape:
         part = nodes.where(F.col("width") == width)
         share = min(1.0, sample_rows / count)
-        draw = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
+        draw = F.xxhash64("node", F.lit(2)).bitwiseAND(F.lit(_DRAW)) <= F.lit(int(share * _DRAW))
         picked = part.where(draw).select("embedding").limit(2 * sample_rows).toPandas()
         if not len(picked):
             picked = part.select("embedding").limit(1).toPandas()
-        lists = int(min(MOST_LISTS, max(1, round(count / (max(1, labels) * list_rows)))))
+        # Enough for the label with the most vectors.
+        lists = int(min(MOST_LISTS, max(1, round(most / list_rows))))
         model = Quantiser(_units(_matrix(picked["embedding"])), lists)
         own = _linked(part, spark.sparkContext.broadcast(model), threshold, radius)
         found = own if found is None else found.union(own)
@@ -209,7 +222,7 @@ def _linked(nodes: DataFrame, model, threshold: float, radius: float) -> DataFra
         empty = pd.DataFrame({"node": np.zeros(0, np.int64), "links": np.zeros(0, np.int64), "root": np.zeros(0, np.int64)})
         if not len(left) or not len(right):
             return empty
-        x, y = _matrix(right["embedding"]), _matrix(left["embedding"])
+        x, y = _scaled(_matrix(right["embedding"])), _scaled(_matrix(left["embedding"]))
         ux, uy = _units(x), _units(y)
         codes = np.stack([np.frombuffer(c, np.uint8) for c in left["codes"]])
         error, copies = left["error"].to_numpy(), left["copies"].to_numpy()

@@ -267,3 +267,62 @@ def test_a_round_moves_no_vectors(spark, monkeypatch):
     assert len(moved) >= 3 and not any("data" in line for line in moved)
     below = plans[0][plans[0].index("Scan parquet") - 200 :]
     assert "Bucketed: true" in below
+
+
+# ------------------------------------------------ near-duplicates of odd ids and vectors
+def test_extreme_vectors_do_not_disturb_others(spark):
+    from rampart.llm import pq
+
+    rows = [
+        (1, [1.0, 1.0], 1), (2, [3.0, 3.0], 1), (3, [1e-200, 1e-200], 1), (4, [1e200, 1e200], 1), (5, [1.0, -1.0], 1),
+        (6, [1e-300, 1e300], 1), (7, [0.0, 5.0], 1), (8, [5e-324, 5e-324], 1), (9, [1e200, -1e200], 1), (10, [0.0, 0.0], 1),
+    ]
+    found = pq.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    got = {r.vec_id: (r.n_links, r.component_id) for r in found}
+    assert {got[i] for i in (1, 2, 3, 4, 8)} == {(4, 1)}
+    assert got[5] == got[9] == (1, 5) and got[6] == got[7] == (1, 6) and got[10] == (0, 10)
+
+
+def test_probes_leave_out_no_partner():
+    from rampart.llm import pq
+
+    rng = np.random.default_rng(3)
+    unit = pq._units(rng.normal(size=(900, 6)))
+    model = pq.Quantiser(unit[:400], 40)
+    own, _, _ = model.encode(unit)
+    probes = model.probes(unit, own, 0.4)
+    assert len(probes) == len(unit)
+    for i, lists in enumerate(probes):
+        near = np.flatnonzero(((unit - unit[i]) ** 2).sum(axis=1) <= 0.16)
+        assert set(own[near]) <= set(lists.tolist())
+    assert np.mean([len(x) for x in probes]) < 20
+
+
+def test_many_near_copies_under_one_id(spark, prose):
+    import time
+
+    from rampart.llm import minhash
+
+    document, near = prose
+    base = document(120)
+    texts = [" ".join(near(base, 1)) for _ in range(500)]
+    took = []
+    for own in (True, False):
+        rows = [(i if own else None, text) for i, text in enumerate(texts)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        start = time.time()
+        found = minhash.near_duplicates(docs, words=3, percent=85).collect()
+        took.append(time.time() - start)
+        assert len(found) == 500 and len({r.group for r in found}) == 1
+        assert {r.component_id for r in found} == ({0} if own else {None})
+    assert took[1] < 2 * took[0] + 5
+
+
+def test_equal_node_numbers_of_different_sets(spark):
+    from rampart.llm import minhash
+
+    rows = [(1, 10, 5, 3), (2, 10, 5, 3), (3, 10, 7, 4), (4, 11, 5, 3)]
+    signed = spark.createDataFrame(rows, "doc_id long, node long, other long, n_shingles long")
+    got = {r.doc_id: r.of_set for r in minhash._told_apart(signed).collect()}
+    assert got[1] == got[2] == 10 and got[4] == 11 and got[3] not in (10, 11)
+    assert all(r.of_set == r.node for r in minhash._told_apart(signed.where("doc_id <> 3")).collect())
