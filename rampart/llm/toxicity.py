@@ -2,7 +2,10 @@
 
 Tokens are words (runs of anything but ASCII white space).  A token's features are hashes
 of the word in lower case without outer punctuation, and of its first 4, 5 and 6 letters.
-Two labels, clean and toxic; a chain runs over up to ``CHAIN`` tokens of a text.
+Two labels, clean and toxic; one chain runs over all tokens of a text.  Messages are
+computed for blocks of ``CHAIN`` tokens side by side: what a block makes of a message is a
+matrix of 2 x 2, so a message is handed on from block to block before the blocks' own
+tokens are gone through.
 
 Training takes a bounded sample of labelled documents: about ``TRAIN_ROWS`` toxic ones and
 twice as many clean ones, drawn by a hash of the id, equal texts once.  Documents carry the
@@ -77,42 +80,89 @@ class _Words:
         return np.array([number[word] for words in documents for word in words], np.int64)
 
 
-def _chains(counts: np.ndarray) -> tuple[np.ndarray, int]:
-    """Cell of each token in a table of chains (rows of ``CHAIN`` cells), and the number
-    of chains.  Each document begins a chain."""
+def _blocks(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cell of each token in a table of blocks (rows of ``CHAIN`` cells), and the number of
+    blocks per document.  Each document begins a block."""
     rows = -(-counts // CHAIN)
     first = (np.cumsum(rows) - rows) * CHAIN
     before = np.cumsum(counts) - counts
-    return np.arange(counts.sum()) + np.repeat(first - before, counts), int(rows.sum())
+    return np.arange(counts.sum()) + np.repeat(first - before, counts), rows
 
 
-def forward_backward(emit: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginal log-odds of the toxic label per cell, and the forward log-odds.
+def _scaled(p: list[np.ndarray]) -> list[np.ndarray]:
+    top = np.maximum(np.maximum(p[0], p[1]), np.maximum(p[2], p[3]))
+    return [x / top for x in p]
+
+
+def messages(emit: np.ndarray, counts: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marginal log-odds of the toxic label per token, and the forward log-odds.
 
-    ``emit`` holds log-odds of the cells of each chain (rows), ``transition`` the log
-    potentials [clean, toxic] x [clean, toxic].  With two labels the messages are ratios.
+    ``emit`` holds the tokens' own log-odds, document after document, ``counts`` the tokens
+    of each, ``transition`` the log potentials [clean, toxic] x [clean, toxic].  With two
+    labels messages are ratios, and a step takes a ratio r to (c + d r) / (a + b r).
     """
     t = np.exp(transition)
-    up = np.exp(np.clip(emit, -FAR, FAR))
-    ahead, back = np.empty_like(up), np.ones_like(up)
-    ahead[:, 0] = up[:, 0]
-    for i in range(1, up.shape[1]):
+    cells, blocks = _blocks(counts)
+    total = int(blocks.sum())
+    up, real = np.ones(total * CHAIN), np.zeros(total * CHAIN, bool)
+    up[cells], real[cells] = np.exp(np.clip(emit, -FAR, FAR)), True
+    up, real = up.reshape(total, CHAIN), real.reshape(total, CHAIN)
+    first = np.cumsum(blocks) - blocks
+    filled = blocks > 0
+    begins = np.zeros(total, bool)
+    begins[first[filled]] = True
+    into, out = np.ones(total), np.ones(total)
+    if (blocks > 1).any():
+        forth, back = _across(up, real, begins, t)
+        most = int(blocks.max())
+        for k in range(1, most):
+            here = first[blocks > k] + k
+            r = into[here - 1]
+            into[here] = (forth[2][here - 1] + forth[3][here - 1] * r) / (forth[0][here - 1] + forth[1][here - 1] * r)
+        for k in range(most - 1, 0, -1):
+            here = first[blocks > k] + k
+            r = out[here]
+            out[here - 1] = (back[2][here] + back[3][here] * r) / (back[0][here] + back[1][here] * r)
+    ahead, behind = np.empty_like(up), np.empty_like(up)
+    ahead[:, 0] = np.where(begins, up[:, 0], up[:, 0] * (t[0, 1] + t[1, 1] * into) / (t[0, 0] + t[1, 0] * into))
+    for i in range(1, CHAIN):
         r = ahead[:, i - 1]
         ahead[:, i] = up[:, i] * (t[0, 1] + t[1, 1] * r) / (t[0, 0] + t[1, 0] * r)
-    for i in range(up.shape[1] - 2, -1, -1):
-        r = up[:, i + 1] * back[:, i + 1]
-        back[:, i] = (t[1, 0] + t[1, 1] * r) / (t[0, 0] + t[0, 1] * r)
-    return np.log(ahead) + np.log(back), np.log(ahead)
+    behind[:, -1] = out
+    for i in range(CHAIN - 2, -1, -1):
+        r = up[:, i + 1] * behind[:, i + 1]
+        behind[:, i] = np.where(real[:, i + 1], (t[1, 0] + t[1, 1] * r) / (t[0, 0] + t[0, 1] * r), behind[:, i + 1])
+    forward = np.log(ahead.reshape(-1)[cells])
+    return forward + np.log(behind.reshape(-1)[cells]), forward
+
+
+def _across(up: np.ndarray, real: np.ndarray, begins: np.ndarray, t: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """What each block makes of a forward message from before it, and of a backward message
+    from behind it: a, b, c, d of the step."""
+    one, none = np.ones(len(up)), np.zeros(len(up))
+    forth, back = [one, none, none, one], [one, none, none, one]
+    for i in range(up.shape[1]):
+        u, (a, b, c, d) = up[:, i], forth
+        step = [t[0, 0] * a + t[1, 0] * c, t[0, 0] * b + t[1, 0] * d, u * (t[0, 1] * a + t[1, 1] * c), u * (t[0, 1] * b + t[1, 1] * d)]
+        # At the first token of a document nothing comes from before.
+        forth = _scaled([np.where(begins, w, x) for w, x in zip((one, one, u, u), step)] if i == 0 else step)
+    for i in range(up.shape[1] - 1, -1, -1):
+        u, (a, b, c, d) = up[:, i], back
+        step = [t[0, 0] * a + t[0, 1] * u * c, t[0, 0] * b + t[0, 1] * u * d, t[1, 0] * a + t[1, 1] * u * c, t[1, 0] * b + t[1, 1] * u * d]
+        back = _scaled([np.where(real[:, i], x, y) for x, y in zip(step, back)])
+    return forth, back
+
+
+def forward_backward(emit: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The messages of texts of equal length, one per row of ``emit``."""
+    counts = np.full(emit.shape[0], emit.shape[1])
+    marginal, forward = messages(emit.reshape(-1), counts, transition)
+    return marginal.reshape(emit.shape), forward.reshape(emit.shape)
 
 
 def _marginals(emit: np.ndarray, counts: np.ndarray, transition: np.ndarray) -> np.ndarray:
     """Marginal log-odds of tokens, document after document, from their own log-odds."""
-    cells, rows = _chains(counts)
-    # Cells after the end of a document are surely clean.
-    table = np.full(rows * CHAIN, -FAR)
-    table[cells] = emit
-    marginal, _ = forward_backward(table.reshape(rows, CHAIN), transition)
-    return np.clip(marginal.reshape(-1)[cells], -FAR, FAR)
+    return np.clip(messages(emit, counts, transition)[0], -FAR, FAR)
 
 
 def _measures(odds: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -203,26 +253,20 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, chain_docs: int
     if not len(words):
         return empty
     labels = telling[features_of].any(axis=1)[words] & np.repeat(toxic[used], counts)
-    cells, rows = _chains(counts)
-    truth, real = np.zeros(rows * CHAIN, bool), np.zeros(rows * CHAIN, bool)
-    truth[cells], real[cells] = labels, True
-    truth, real = truth.reshape(rows, CHAIN), real.reshape(rows, CHAIN)
     share = max(labels.mean(), 1e-6)
     weights, bias, transition = np.zeros(size), float(np.log(share / (1 - share))), np.zeros((2, 2))
     gain_w, gain_t, gain_b = np.full(size, 1e-4), np.full((2, 2), 1e-4), 1e-4
-    # Pairs of neighbouring cells of one document, by their labels.
-    both = real[:, :-1] & real[:, 1:]
-    pairs = np.bincount((2 * truth[:, :-1] + truth[:, 1:])[both], minlength=4).reshape(2, 2)
+    # Pairs of neighbouring tokens of one document, by their labels.
+    document = np.repeat(np.arange(len(counts)), counts)
+    both = document[:-1] == document[1:]
+    pairs = np.bincount((2 * labels[:-1] + labels[1:])[both], minlength=4).reshape(2, 2)
     for _ in range(STEPS):
-        emit = bias + weights[features_of].sum(axis=1)
-        table = np.full(rows * CHAIN, -FAR)
-        table[cells] = emit[words]
-        table = table.reshape(rows, CHAIN)
-        marginal, ahead = forward_backward(table, transition)
-        lack = (truth - 1 / (1 + np.exp(-marginal))).reshape(-1)[cells]
+        emit = (bias + weights[features_of].sum(axis=1))[words]
+        marginal, ahead = messages(emit, counts, transition)
+        lack = labels - 1 / (1 + np.exp(-marginal))
         by_word = np.bincount(words, lack, minlength=len(features_of))
         grad_w = sum(np.bincount(column, by_word, minlength=size) for column in features_of.T) - 1e-3 * weights
-        grad_t = pairs - _expected_pairs(table, marginal, ahead, transition, both) - 1e-3 * transition
+        grad_t = pairs - _expected_pairs(emit, marginal, ahead, transition, both) - 1e-3 * transition
         grad_b = lack.sum()
         gain_w += grad_w**2
         gain_t += grad_t**2
@@ -242,18 +286,19 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, chain_docs: int
     return model
 
 
-def _expected_pairs(table: np.ndarray, marginal: np.ndarray, ahead: np.ndarray, transition: np.ndarray, both: np.ndarray) -> np.ndarray:
-    """Expected label pairs of neighbouring cells: forward at i, transition, emission and
-    backward at i + 1; summed in slices of chains."""
+def _expected_pairs(emit: np.ndarray, marginal: np.ndarray, ahead: np.ndarray, transition: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Expected label pairs of neighbouring tokens (``both``: of one document): forward at
+    i, transition, emission and backward at i + 1; summed in slices of tokens."""
     total, t = np.zeros(4), np.exp(transition)
-    for first in range(0, len(table), 4096):
-        rows = slice(first, first + 4096)
-        f1 = 1 / (1 + np.exp(-ahead[rows, :-1]))
-        after = marginal[rows, 1:] - ahead[rows, 1:] + np.clip(table[rows, 1:], -FAR, FAR)
+    for first in range(0, len(both), 250_000):
+        here = slice(first, min(first + 250_000, len(both)))
+        after_ = slice(here.start + 1, here.stop + 1)
+        f1 = 1 / (1 + np.exp(-ahead[here]))
+        after = marginal[after_] - ahead[after_] + np.clip(emit[after_], -FAR, FAR)
         g = np.exp(np.clip(after, -3 * FAR, 3 * FAR))
         joint = np.stack([(1 - f1) * t[0, 0], (1 - f1) * t[0, 1] * g, f1 * t[1, 0], f1 * t[1, 1] * g])
         joint /= joint.sum(axis=0)
-        total += (joint * both[rows]).sum(axis=(1, 2))
+        total += (joint * both[here]).sum(axis=1)
     return total.reshape(2, 2)
 
 

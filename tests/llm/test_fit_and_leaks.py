@@ -326,3 +326,63 @@ def test_equal_node_numbers_of_different_sets(spark):
     got = {r.doc_id: r.of_set for r in minhash._told_apart(signed).collect()}
     assert got[1] == got[2] == 10 and got[4] == 11 and got[3] not in (10, 11)
     assert all(r.of_set == r.node for r in minhash._told_apart(signed.where("doc_id <> 3")).collect())
+
+
+# ------------------------------------------------------------ one chain over a whole text
+def plain_marginals(emit, move):
+    """Forward and backward over all tokens in one go, in logs."""
+    n = len(emit)
+    score = np.stack([np.zeros(n), np.clip(emit, -20, 20)], 1)
+    ahead, behind = np.zeros((n, 2)), np.zeros((n, 2))
+    ahead[0] = score[0]
+    for i in range(1, n):
+        ahead[i] = np.logaddexp(ahead[i - 1][0] + move[0], ahead[i - 1][1] + move[1]) + score[i]
+    for i in range(n - 2, -1, -1):
+        behind[i] = np.logaddexp(move[:, 0] + score[i + 1, 0] + behind[i + 1, 0], move[:, 1] + score[i + 1, 1] + behind[i + 1, 1])
+    both = ahead + behind
+    return both[:, 1] - both[:, 0], ahead[:, 1] - ahead[:, 0]
+
+
+def test_messages_run_over_whole_texts():
+    from rampart.llm import toxicity
+
+    rng = np.random.default_rng(6)
+    counts = np.array([1, 63, 64, 65, 0, 128, 700, 2, 129, 0])
+    emit = rng.normal(scale=6, size=counts.sum())
+    for move in (rng.normal(scale=2, size=(2, 2)), np.array([[3.0, -4.0], [-4.0, 3.0]])):
+        marginal, forward = toxicity.messages(emit, counts, move)
+        stop = 0
+        for count in counts:
+            own = slice(stop, stop + count)
+            stop += count
+            if count:
+                wanted, ahead = plain_marginals(emit[own], move)
+                assert np.allclose(marginal[own], wanted, atol=1e-9) and np.allclose(forward[own], ahead, atol=1e-9)
+
+
+def test_marginals_equal_all_paths_over_a_block_edge(monkeypatch):
+    from itertools import product
+
+    from rampart.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "CHAIN", 4)
+    rng = np.random.default_rng(7)
+    emit, move = rng.normal(size=10), rng.normal(size=(2, 2))
+    odds = np.zeros((10, 2))
+    for path in product((0, 1), repeat=10):
+        weight = np.exp(sum(emit[i] for i in range(10) if path[i]) + sum(move[a, b] for a, b in zip(path, path[1:])))
+        for i, label in enumerate(path):
+            odds[i, label] += weight
+    found, _ = toxicity.messages(np.concatenate([emit, emit[:3]]), np.array([10, 3]), move)
+    assert np.allclose(found[:10], np.log(odds[:, 1] / odds[:, 0]))
+
+
+def test_a_word_in_front_moves_no_other_word(spark):
+    """Far from the front, marginals do not depend on where a block ends."""
+    from rampart.llm import toxicity
+
+    rng = np.random.default_rng(8)
+    emit, move = rng.normal(scale=2, size=400), np.array([[1.0, -1.0], [-1.0, 1.0]])
+    plain, _ = toxicity.messages(emit, np.array([400]), move)
+    shifted, _ = toxicity.messages(np.concatenate([[0.3], emit]), np.array([401]), move)
+    assert np.abs(plain[50:] - shifted[51:]).max() < 1e-9
