@@ -1,8 +1,10 @@
-"""Encoding of whole texts with the tokenizers library, once per distinct word.
+"""Encoding of whole texts with the tokenizers library, once per distinct piece.
 
-A tokenizer that first splits a text at white space gives each piece between two
-boundaries the same ids wherever it stands.  Prose repeats its words, so the ids of a
-piece are kept and looked up, and only new pieces are encoded.
+A tokenizer that first splits a text at white space and between letters and punctuation
+gives each piece between two such places the same ids wherever it stands.  Prose repeats
+its words, so the ids of a piece are kept and looked up, and only new pieces are encoded.
+Pieces are cut in the UTF-8 bytes of a batch of texts at once, and each distinct piece of
+a batch is looked up once.
 """
 
 from __future__ import annotations
@@ -12,22 +14,63 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
-# A piece starts at white space that follows something else, or where a run of letters
-# and digits ends.  A run before something that is not ASCII may have to be composed
-# with it, so there the piece goes on to the next white space.
-# Nor does it end at a letter that becomes a letter and a mark in lower case or in
-# composed form: a tokenizer joins the mark with punctuation that follows.
-_MARKED = (
-    "\u0130\u0958-\u095f\u09dc\u09dd\u09df\u0a33\u0a36\u0a59-\u0a5b\u0a5e\u0b5c\u0b5d"
-    "\u0f43\u0f4d\u0f52\u0f57\u0f5c\u0f69\ufb1d\ufb1f\ufb2a-\ufb36\ufb38-\ufb3c\ufb3e"
-    "\ufb40\ufb41\ufb43\ufb44\ufb46-\ufb4e"
-)
-_PIECE = re.compile(rf"[ \n]*+[^\W_]++(?<![{_MARKED}])(?![^\x00-\x7f])|[ \n]*[^ \n]+|[ \n]+")
-# With other kinds of white space a text is encoded as a whole.
+# Letters that become a letter and a mark in lower case or in composed form: a tokenizer
+# joins the mark with punctuation that follows, so a piece does not end at one.
+_MARKED = {0x130}
+# With other kinds of white space than these two a text is encoded as a whole.
+_SPACES = b" \n"
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-# At so many pieces the memory of a worker starts afresh.
+_OTHER_ASCII_SPACE = [chr(c) for c in range(128) if _OTHER_SPACE.match(chr(c))]
+# With so many pieces, or so many characters in them, the memory of a worker starts afresh.
 MEMORY = 700_000
+MEMORY_CHARS = 16_000_000
+# So many new pieces are encoded as one text.
+_JOINED = 2_000
+
+
+def _letter_ends() -> np.ndarray:
+    """For two bytes as a number (first one high): do they end with a letter or digit that
+    has one or two bytes?  Longer ones are not looked at: there a piece goes on."""
+    ends = np.zeros((256, 256), bool)
+    for code in range(0x800):
+        if chr(code).isalnum() and code not in _MARKED:
+            utf8 = chr(code).encode()
+            ends[utf8[-2] if code >= 0x80 else slice(None), utf8[-1]] = True
+    return ends.reshape(-1)
+
+
+def _byte_table(wanted: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[np.frombuffer(wanted, np.uint8)] = True
+    return table
+
+
+_LETTER_END = _letter_ends()
+_SPACE = _byte_table(_SPACES)
+# ASCII, but neither letter nor digit.
+_BREAK = _byte_table(bytes(c for c in range(128) if not chr(c).isalnum()))
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Marks where pieces start in UTF-8 bytes: at the first byte, at white space that
+    follows something else, and at any ASCII sign that follows a letter or digit.  Before
+    something that is not ASCII a piece goes on, as that may have to be composed with what
+    is before it."""
+    before, here = data[:-1], data[1:]
+    pairs = before.astype(np.uint16)
+    pairs[1:] |= data[:-2].astype(np.uint16) << np.uint16(8)
+    space = _SPACE[data]
+    start = np.ones(len(data), bool)
+    start[1:] = _BREAK[here] & _LETTER_END[pairs] | space[1:] & ~space[:-1]
+    return start
+
+
+def _has_other_space(text: str) -> bool:
+    if text.isascii():
+        return any(x in text for x in _OTHER_ASCII_SPACE)
+    return _OTHER_SPACE.search(text) is not None
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -59,11 +102,21 @@ class Encoder:
         # A text that holds one of these is encoded as a whole.
         found = self._tokenizer.get_added_tokens_decoder().values() if added_tokens else ()
         self._added = [token.content for token in found]
+        # The string of a special token between pieces keeps their ids apart.
+        self._joiner = Tokenizer.from_file(path)
+        plain = [
+            token.content
+            for token in self._joiner.get_added_tokens_decoder().values()
+            if token.special and not (token.normalized or token.lstrip or token.rstrip or token.single_word)
+        ]
+        self._mark = plain[-1] if plain else None
+        self._mark_id = self._joiner.token_to_id(self._mark) if plain else None
+        self._specials = [token.content for token in self._joiner.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
         self._number = _Numbers()
-        self._pieces = 0
+        self._pieces = self._chars = 0
         self._start = np.zeros(0, np.int64)
         self._length = np.zeros(0, np.int64)
         self._flat = np.zeros(0, np.uint32)
@@ -72,37 +125,66 @@ class Encoder:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32) for x in found]
 
-    def _learn(self) -> None:
-        """Encode the pieces that were numbered since the last call."""
-        new = list(self._number)[self._pieces :] if len(self._number) > self._pieces else []
-        if not new:
-            return
-        found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ids = [x.ids for x in found]
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(length.sum()))
-        self._start = np.append(self._start, len(self._flat) + np.cumsum(length) - length)
-        self._length = np.append(self._length, length)
-        self._flat = np.append(self._flat, flat)
-        self._pieces = len(self._number)
+    def _ids_of_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after the other, and the number of ids per piece."""
+        joined = self._mark.join(pieces) if self._mark else ""
+        if joined and sum(map(joined.count, self._specials)) == len(pieces) - 1:
+            found = self._joiner.encode_batch_fast([joined], add_special_tokens=False)[0]
+            ids = np.array(found.ids, np.uint32)
+            marks = np.flatnonzero(ids == self._mark_id)
+            if len(marks) == len(pieces) - 1:
+                lengths = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
+                return ids[ids != self._mark_id], lengths
+        parts = self._ids(pieces)
+        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode pieces that were just numbered."""
+        flats, lengths = [self._flat], []
+        for first in range(0, len(new), _JOINED):
+            flat, length = self._ids_of_pieces(new[first : first + _JOINED])
+            flats.append(flat)
+            lengths.append(length)
+        if lengths:
+            length = np.concatenate(lengths)
+            self._start = np.append(self._start, len(self._flat) + np.cumsum(length) - length)
+            self._length = np.append(self._length, length)
+            self._flat = np.concatenate(flats)
+            self._pieces = len(self._number)
+            self._chars += sum(map(len, new))
+
+    def _numbers_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all pieces of the texts, and how many pieces each text has."""
+        blobs = [text.encode() for text in texts]
+        stops = np.cumsum(np.fromiter(map(len, blobs), np.int64, len(blobs)))
+        data = b"".join(blobs)
+        del blobs
+        if not data:
+            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        is_start = _cuts(np.frombuffer(data, np.uint8))
+        is_start[stops[stops < len(data)]] = True
+        starts = np.flatnonzero(is_start)
+        bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        pieces = pa.Array.from_buffers(pa.large_string(), len(starts), [None, bounds, pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        numbers = np.fromiter(map(self._number.__getitem__, distinct), np.int64, len(distinct))
+        # New ones were numbered in this order.
+        self._learn([distinct[i] for i in np.flatnonzero(numbers >= self._pieces)])
+        counts = np.diff(np.searchsorted(starts, stops), prepend=0)
+        return numbers[coded.indices.to_numpy(zero_copy_only=False)], counts
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each followed by ``end``, and the
         number of ids per text."""
-        if len(self._number) > MEMORY:
+        if len(self._number) > MEMORY or self._chars > MEMORY_CHARS:
             self._forget()
-        number = self._number
-        pieces, counts, whole = [], [], {}
-        for place, text in enumerate(texts):
-            if _OTHER_SPACE.search(text) or any(x in text for x in self._added):
-                whole[place] = text
-                counts.append(0)
-                continue
-            found = [number[x] for x in _PIECE.findall(text)]
-            pieces.append(np.array(found, np.int64))
-            counts.append(len(found))
-        self._learn()
-        order = np.concatenate(pieces) if pieces else np.zeros(0, np.int64)
+        whole = {
+            place: text
+            for place, text in enumerate(texts)
+            if any(x in text for x in self._added) or _has_other_space(text)
+        }
+        order, counts = self._numbers_of(["" if place in whole else text for place, text in enumerate(texts)])
         lengths = self._length[order]
         flat = gather(self._start[order], lengths, self._flat)
         ends = np.append(0, np.cumsum(lengths))[np.cumsum(counts)]
