@@ -23,7 +23,7 @@ _MARKED = {0x130}
 _SPACES = b" \n"
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _OTHER_ASCII_SPACE = [chr(c) for c in range(128) if _OTHER_SPACE.match(chr(c))]
-# With so many pieces, or so many characters in them, the memory of a worker starts afresh.
+# With so many pieces, or so many characters in them, a worker forgets those it used once.
 MEMORY = 700_000
 MEMORY_CHARS = 16_000_000
 # So many new pieces are encoded as one text.
@@ -119,8 +119,27 @@ class Encoder:
         self._pieces = self._chars = 0
         self._start = np.zeros(0, np.int64)
         self._length = np.zeros(0, np.int64)
+        self._uses = np.zeros(0, np.int64)
         self._flat = np.zeros(0, np.uint32)
 
+    def _shrink(self) -> None:
+        """Forget all pieces but those used more than once since the last time (of too many
+        of them the most used)."""
+        keep = np.flatnonzero(self._uses > 1)
+        if len(keep) > MEMORY // 2:
+            keep = np.sort(keep[np.argsort(self._uses[keep])[-(MEMORY // 2) :]])
+        pieces = list(self._number)
+        kept = [pieces[i] for i in keep]
+        chars = sum(map(len, kept))
+        start, length, flat = self._start[keep], self._length[keep], self._flat
+        self._forget()
+        if chars <= MEMORY_CHARS // 2:
+            self._number.update(zip(kept, range(len(kept))))
+            self._pieces, self._chars = len(kept), chars
+            self._start, self._length = np.cumsum(length) - length, length
+            self._uses = np.zeros(len(kept), np.int64)
+            self._flat = gather(start, length, flat)
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32) for x in found]
@@ -149,6 +168,7 @@ class Encoder:
             length = np.concatenate(lengths)
             self._start = np.append(self._start, len(self._flat) + np.cumsum(length) - length)
             self._length = np.append(self._length, length)
+            self._uses = np.append(self._uses, np.zeros(len(length), np.int64))
             self._flat = np.concatenate(flats)
             self._pieces = len(self._number)
             self._chars += sum(map(len, new))
@@ -171,14 +191,15 @@ class Encoder:
         numbers = np.fromiter(map(self._number.__getitem__, distinct), np.int64, len(distinct))
         # New ones were numbered in this order.
         self._learn([distinct[i] for i in np.flatnonzero(numbers >= self._pieces)])
-        counts = np.diff(np.searchsorted(starts, stops), prepend=0)
-        return numbers[coded.indices.to_numpy(zero_copy_only=False)], counts
+        order = coded.indices.to_numpy(zero_copy_only=False)
+        self._uses[numbers] += np.bincount(order, minlength=len(numbers))
+        return numbers[order], np.diff(np.searchsorted(starts, stops), prepend=0)
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each followed by ``end``, and the
         number of ids per text."""
         if len(self._number) > MEMORY or self._chars > MEMORY_CHARS:
-            self._forget()
+            self._shrink()
         whole = {
             place: text
             for place, text in enumerate(texts)

@@ -192,3 +192,17 @@ def test_queries_know_added_tokens_as_the_library_does(spark, odd_docs, tmp_path
     assert set(found) <= set(wanted(BYTES, 1)) and {str(x) for x, _ in more} <= {x for x, *_ in found}
     stage = stages.packing_stage(spark, docs, str(tmp_path)).where("length = doc_tokens").collect()
     assert sorted((str(r.doc_id), r.doc_tokens, r.ids_crc32) for r in stage) == found
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+@pytest.mark.parametrize("pieces, chars", [(60, 10**6), (10**6, 300), (10**6, 10**6)])
+def test_pieces_equal_whole_texts_when_pieces_are_forgotten(monkeypatch, path, pieces, chars):
+    monkeypatch.setattr("rampart.llm.encoding.MEMORY", pieces)
+    monkeypatch.setattr("rampart.llm.encoding.MEMORY_CHARS", chars)
+    generator, tokens, library = random.Random(11), Encoder(path, True), Tokenizer.from_file(path)
+    signs = ["the", "IT'S", "x=1", "é", "İ", "×", "Σας", "漢字", "\u0301", "\u0338", "\t", "\xa0", "<|endoftext|>", *" \n.,'<>=_-a9"]
+    for _ in range(30):
+        texts = ["".join(generator.choices(signs, k=generator.randrange(12))) for _ in range(40)]
+        ids, sizes = tokens.encode(texts, 1)
+        wanted = [[*library.encode(text, add_special_tokens=False).ids, 1] for text in texts]
+        assert sizes.tolist() == [len(x) for x in wanted] and ids.tolist() == sum(wanted, [])
