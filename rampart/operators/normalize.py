@@ -265,6 +265,7 @@ def normalize(
     raw_col: str = "raw_event",
     specs: SpecSet | None = None,
     parser_id: str | None = None,
+    parsers: list[str] | None = None,
     mode: str = "air_gapped",
     indicators: DataFrame | Indicators | None = None,
     places: PlaceIndex | PrefixIndex | None = None,
@@ -279,6 +280,8 @@ def normalize(
     ``raw_col``      string column holding the line
     ``specs``        parser specs (default: the shipped ones)
     ``parser_id``    parser to use for every line instead of classifying
+    ``parsers``      only lines of these parsers; others go before any field is cut, and
+                     what their specs would need is left out of the plan (default: all)
     ``mode``         ``air_gapped`` or ``internet``; tags indicator names
     ``indicators``   threat table keyed by ``ip``, or the result of
                      ``prepared_indicators`` (default: the shipped one)
@@ -302,7 +305,11 @@ def normalize(
         (F.current_timestamp() if ingested_at is None else ingested_at.cast("timestamp")).alias("ingested_at"),
     )
     # The event id is fixed here, before anything that could be evaluated twice.
-    parsed = evaluate_once(with_fields(with_parser(source, specs, parser_id=parser_id), specs))
+    routed = with_parser(source, specs, parser_id=parser_id)
+    if parsers is not None:
+        routed = routed.where(F.col("parser_id").isin(list(parsers)))
+        specs = SpecSet(spec for spec in specs if spec.id in parsers)
+    parsed = evaluate_once(with_fields(routed, specs))
     typed = with_typed_values(evaluate_once(with_source_values(parsed, specs)), specs)
     if isinstance(indicators, DataFrame):
         indicators = prepared_indicators(indicators)

@@ -15,6 +15,7 @@ from rampart.sinks import writers
 from rampart.sources import readers
 from rampart.specs import SpecSet
 from rampart.specs.patterns import to_java
+from rampart.streaming import jobs
 
 
 def test_rounding_matches_python(spark):
@@ -175,3 +176,35 @@ def test_lookups_are_pushed_to_the_stored_table(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(src_ip,10.0.0.7)" in plan and "EqualTo(action,Allowed)" in plan
     assert [r.dst_ip for r in found.collect()] == ["10.0.1.7"]
+
+
+def test_chosen_parsers(spark):
+    rows = spark.createDataFrame([("CEF:0|a|b|1|1|n|3|src=10.0.0.1",), ("x=1 y=2 z=3 w=4",), ("plain",)], "raw_event string")
+    chosen = normalize(rows, parsers=["generic_kv", "no_such_parser"])
+    assert [r.parser_id for r in chosen.select("lineage.parser_id").collect()] == ["generic_kv"]
+    # What only other specs need is not in the plan.
+    plans = [df.select("unmapped")._jdf.queryExecution().analyzed().toString() for df in (normalize(rows), chosen)]
+    assert ["device_event_class_id" in plan for plan in plans] == [True, False]
+    assert chosen.count() == 1 and normalize(rows, parsers=[]).collect() == []
+    assert normalize(rows, parser_id="generic_kv", parsers=["generic_kv"]).count() == 3
+
+
+def test_specs_are_read_again_for_each_batch(spark, tmp_path):
+    inbox, specs = tmp_path / "inbox", tmp_path / "specs"
+    inbox.mkdir()
+    specs.mkdir()
+    found = {}
+
+    def run(name):
+        (inbox / f"{name}.txt").write_text(f"tag={name}\n# a comment\n")
+        job = jobs.stream_to_sinks(
+            readers.stream_lines(spark, str(inbox)),
+            {"seen": lambda batch: found.update({r.raw_event: r.parser_id for r in batch.select("raw_event", "lineage.parser_id").collect()})},
+            str(tmp_path / "progress"), specs_dir=str(specs), parser_id="late", once=True,
+        )
+        job.awaitTermination()
+
+    run("before")
+    (specs / "late.json").write_text(json.dumps({"id": "late", "format": "kv"}))
+    run("after")
+    assert found == {"tag=before": "generic_raw", "tag=after": "late"}
