@@ -58,7 +58,8 @@ def compress(
         if len(symbols) < 2:
             break
         left, right = symbols[:-1], symbols[1:]
-        mix = left * np.uint32(2654435761 + 2 * turn) + right * np.uint32(2246822519)
+        mix = left * np.uint32(2654435761 + 2 * turn)
+        mix += right * np.uint32(2246822519)
         mix ^= mix >> np.uint32(15)
         mix *= np.uint32(3266489917)
         mix >>= np.uint32(32 - _HASH_BITS)
@@ -66,35 +67,42 @@ def compress(
         bucket[last[:-1]] = none
         count = np.bincount(bucket, minlength=none + 1)
         count[none] = 0
-        here = count[bucket]
-        live = np.flatnonzero(here >= min_count)
-        at = bucket[live]
+        # Frequent buckets by rising count, numbered from 1; 0 stands for all others.
+        often = np.flatnonzero(count >= min_count)
+        often = often[np.argsort(count[often], kind="stable")]
+        place = np.zeros(none + 1, np.int32)
+        place[often] = np.arange(1, len(often) + 1, dtype=np.int32)
+        rank = np.zeros(len(symbols) + 1, np.int32)
+        np.take(place, bucket, out=rank[1:-1], mode="clip")
+        own = rank[1:-1]
         # One pair per bucket: others in the bucket wait for another round's hash.
+        live = np.flatnonzero(own)
+        at = own[live]
         pair = left[live].astype(np.uint64) << np.uint64(32) | right[live]
-        owner = np.zeros(none, np.uint64)
+        owner = np.zeros(len(often) + 1, np.uint64)
         owner[at] = pair
+        own[live[owner[at] != pair]] = 0
         # A pair gives way to a more frequent one that it overlaps with.
-        rank = np.zeros(len(symbols) + 1, np.int64)
-        rank[live + 1] = np.where(owner[at] == pair, here[live] << _HASH_BITS | at, 0)
-        own = rank[1:-1]
         tied = np.flatnonzero((own >= rank[:-2]) & (own >= rank[2:]) & (own > 0))
         # Equal neighbours are one pair in a run of a symbol: every other one is taken.
         start = np.flatnonzero(np.diff(tied, prepend=-2) != 1)
         run = np.repeat(start, np.diff(np.append(start, len(tied))))
         chosen = tied[(np.arange(len(tied)) - run) % 2 == 0]
-        uses = np.bincount(bucket[chosen], minlength=none)
-        kept = uses >= min_count
-        chosen = chosen[kept[bucket[chosen]]]
+        which = own[chosen]
+        kept = np.bincount(which, minlength=len(often) + 1) >= min_count
+        good = kept[which]
+        chosen, which = chosen[good], which[good]
         if not len(chosen):
             break
         used = np.flatnonzero(kept)
-        name = np.zeros(none, np.uint32)
+        used = used[np.argsort(often[used - 1])]
+        name = np.zeros(len(often) + 1, np.uint32)
         name[used] = next_symbol + np.arange(len(used), dtype=np.uint32)
         rules.append(np.stack([owner[used] >> np.uint64(32), owner[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         next_symbol += len(used)
         keep = np.ones(len(symbols), bool)
         keep[chosen + 1] = False
-        symbols[chosen] = name[bucket[chosen]]
+        symbols[chosen] = name[which]
         last[chosen] = last[chosen + 1]
         symbols, last = symbols[keep], last[keep]
         if len(chosen) < len(keep) // 200:
