@@ -27,7 +27,7 @@ _OTHER_ASCII_SPACE = [chr(c) for c in range(128) if _OTHER_SPACE.match(chr(c))]
 MEMORY = 700_000
 MEMORY_CHARS = 16_000_000
 # So many new pieces are encoded as one text.
-_JOINED = 2_000
+_JOINED = 500
 
 
 def _letter_ends() -> np.ndarray:
@@ -187,10 +187,10 @@ class Encoder:
         bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
         pieces = pa.Array.from_buffers(pa.large_string(), len(starts), [None, bounds, pa.py_buffer(data)])
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
         numbers = np.fromiter(map(self._number.__getitem__, distinct), np.int64, len(distinct))
         # New ones were numbered in this order.
-        self._learn([distinct[i] for i in np.flatnonzero(numbers >= self._pieces)])
+        self._learn(distinct[numbers >= self._pieces].tolist())
         order = coded.indices.to_numpy(zero_copy_only=False)
         self._uses[numbers] += np.bincount(order, minlength=len(numbers))
         return numbers[order], np.diff(np.searchsorted(starts, stops), prepend=0)

@@ -54,48 +54,49 @@ def compress(
     """
     symbols, rules = ids.astype(np.uint32), []
     next_symbol, none = first_rule, 1 << _HASH_BITS
+    # Where a frequent pair may begin.  A pair that is not frequent never becomes so: only
+    # pairs with a new symbol are added from round to round.
+    open_ = np.ones(len(symbols), bool)
     for turn in range(rounds):
-        if len(symbols) < 2:
-            break
-        left, right = symbols[:-1], symbols[1:]
+        open_[-1:] = False
+        at = np.flatnonzero(open_ & ~last)
+        left, right = symbols[at], symbols[at + 1]
         mix = left * np.uint32(2654435761 + 2 * turn)
         mix += right * np.uint32(2246822519)
         mix ^= mix >> np.uint32(15)
         mix *= np.uint32(3266489917)
         mix >>= np.uint32(32 - _HASH_BITS)
         bucket = mix.astype(np.int64)
-        bucket[last[:-1]] = none
-        count = np.bincount(bucket, minlength=none + 1)
-        count[none] = 0
+        count = np.bincount(bucket, minlength=none)
         # Frequent buckets by rising count, numbered from 1; 0 stands for all others.
         often = np.flatnonzero(count >= min_count)
         often = often[np.argsort(count[often], kind="stable")]
-        place = np.zeros(none + 1, np.int32)
+        place = np.zeros(none, np.int32)
         place[often] = np.arange(1, len(often) + 1, dtype=np.int32)
-        rank = np.zeros(len(symbols) + 1, np.int32)
-        np.take(place, bucket, out=rank[1:-1], mode="clip")
-        own = rank[1:-1]
+        which = place[bucket]
+        live = np.flatnonzero(which)
+        at, which = at[live], which[live]
         # One pair per bucket: others in the bucket wait for another round's hash.
-        live = np.flatnonzero(own)
-        at = own[live]
         pair = left[live].astype(np.uint64) << np.uint64(32) | right[live]
         owner = np.zeros(len(often) + 1, np.uint64)
-        owner[at] = pair
-        own[live[owner[at] != pair]] = 0
+        owner[which] = pair
+        owned = owner[which] == pair
         # A pair gives way to a more frequent one that it overlaps with.
-        tied = np.flatnonzero((own >= rank[:-2]) & (own >= rank[2:]) & (own > 0))
+        rank = np.zeros(len(symbols) + 2, np.int32)
+        rank[at + 1] = np.where(owned, which, 0)
+        most = owned & (which >= rank[at]) & (which >= rank[at + 2])
+        tied, which = at[most], which[most]
         # Equal neighbours are one pair in a run of a symbol: every other one is taken.
         start = np.flatnonzero(np.diff(tied, prepend=-2) != 1)
         run = np.repeat(start, np.diff(np.append(start, len(tied))))
-        chosen = tied[(np.arange(len(tied)) - run) % 2 == 0]
-        which = own[chosen]
+        taken = (np.arange(len(tied)) - run) % 2 == 0
+        chosen, which = tied[taken], which[taken]
         kept = np.bincount(which, minlength=len(often) + 1) >= min_count
         good = kept[which]
         chosen, which = chosen[good], which[good]
         if not len(chosen):
             break
         used = np.flatnonzero(kept)
-        used = used[np.argsort(often[used - 1])]
         name = np.zeros(len(often) + 1, np.uint32)
         name[used] = next_symbol + np.arange(len(used), dtype=np.uint32)
         rules.append(np.stack([owner[used] >> np.uint64(32), owner[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
@@ -104,7 +105,9 @@ def compress(
         keep[chosen + 1] = False
         symbols[chosen] = name[which]
         last[chosen] = last[chosen + 1]
-        symbols, last = symbols[keep], last[keep]
+        open_ = np.zeros(len(symbols), bool)
+        open_[at] = open_[chosen] = open_[np.maximum(chosen - 1, 0)] = True
+        symbols, last, open_ = symbols[keep], last[keep], open_[keep]
         if len(chosen) < len(keep) // 200:
             break
     return symbols, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
