@@ -16,6 +16,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
+from rampart.llm.common import keep_heap
+
 # Letters that become a letter and a mark in lower case or in composed form: a tokenizer
 # joins the mark with punctuation that follows, so a piece does not end at one.
 _MARKED = {0x130}
@@ -232,4 +234,5 @@ class Encoder:
 @lru_cache(maxsize=2)
 def encoder(path: str, added_tokens: bool = False) -> Encoder:
     """One per worker process, kept from task to task."""
+    keep_heap()
     return Encoder(path, added_tokens)
