@@ -73,14 +73,14 @@ def lean(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]
     return run
 
 
-def keep_heap() -> None:
-    """Let this worker keep up to 256 MB that it has freed, and take arrays of up to 32 MB
+def keep_heap(mb: int = 256) -> None:
+    """Let this worker keep up to ``mb`` that it has freed, and take arrays of up to 32 MB
     from there: otherwise each batch has its memory mapped and zeroed anew.  ``lean`` still
     gives it back after a task.  Nothing where the C library has no such call."""
     mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
     if mallopt is not None:
         # Fixed values of malloc.h: M_TRIM_THRESHOLD -1, M_MMAP_THRESHOLD -3.
-        mallopt(-1, 256 << 20)
+        mallopt(-1, mb << 20)
         mallopt(-3, 32 << 20)
 
 

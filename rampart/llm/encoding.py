@@ -93,9 +93,11 @@ class _Numbers(dict):
 
 class Encoder:
     """``added_tokens``: the strings of added tokens in a text stand for these tokens, as
-    in the library's own call; otherwise they are ordinary text."""
+    in the library's own call; otherwise they are ordinary text.  ``memory``: of so many
+    pieces it keeps the ids."""
 
-    def __init__(self, path: str, added_tokens: bool = False) -> None:
+    def __init__(self, path: str, added_tokens: bool = False, memory: int = MEMORY) -> None:
+        self._most, self._most_chars = memory, MEMORY_CHARS * memory // MEMORY
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -128,14 +130,14 @@ class Encoder:
         """Forget all pieces but those used more than once since the last time (of too many
         of them the most used)."""
         keep = np.flatnonzero(self._uses > 1)
-        if len(keep) > MEMORY // 2:
-            keep = np.sort(keep[np.argsort(self._uses[keep])[-(MEMORY // 2) :]])
+        if len(keep) > self._most // 2:
+            keep = np.sort(keep[np.argsort(self._uses[keep])[-(self._most // 2) :]])
         pieces = list(self._number)
         kept = [pieces[i] for i in keep]
         chars = sum(map(len, kept))
         start, length, flat = self._start[keep], self._length[keep], self._flat
         self._forget()
-        if chars <= MEMORY_CHARS // 2:
+        if chars <= self._most_chars // 2:
             self._number.update(zip(kept, range(len(kept))))
             self._pieces, self._chars = len(kept), chars
             self._start, self._length = np.cumsum(length) - length, length
@@ -200,7 +202,7 @@ class Encoder:
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each followed by ``end``, and the
         number of ids per text."""
-        if len(self._number) > MEMORY or self._chars > MEMORY_CHARS:
+        if len(self._number) > self._most or self._chars > self._most_chars:
             self._shrink()
         whole = {
             place: text
@@ -232,7 +234,7 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, added_tokens: bool = False) -> Encoder:
+def encoder(path: str, added_tokens: bool = False, memory: int = MEMORY, heap_mb: int = 256) -> Encoder:
     """One per worker process, kept from task to task."""
-    keep_heap()
-    return Encoder(path, added_tokens)
+    keep_heap(heap_mb)
+    return Encoder(path, added_tokens, memory)

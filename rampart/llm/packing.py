@@ -21,10 +21,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rampart.llm.common import lean, slices, staged, with_offsets
+from rampart.llm.common import arrow_rows, lean, slices, staged, with_offsets
 from rampart.llm.encoding import encoder
 
 _TOKENS = "part int, doc_id long, part_start long, doc_tokens long, ids binary"
+# Bounds of a worker's memory beside an executor full of earlier stages: documents at once,
+# characters at once, pieces remembered, freed MB kept.
+_ROWS = 1_000
+_SLICE = 1_000_000
+_REMEMBERED = 250_000
+_HEAP_MB = 64
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, continued boolean, continues boolean, ids binary"
@@ -37,10 +43,10 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int, added_tokens:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        tokens = encoder(tokenizer_path, added_tokens)
+        tokens = encoder(tokenizer_path, added_tokens, _REMEMBERED, _HEAP_MB)
         for batch in batches:
             doc_ids = batch.column("doc_id")
-            for first, texts in slices(batch, "text"):
+            for first, texts in slices(batch, "text", _SLICE):
                 ids, sizes = tokens.encode(texts, end_id)
                 stops = np.cumsum(sizes)
                 blob = ids.astype("<u4").view(np.uint8)
@@ -79,7 +85,8 @@ def pack(
     the document began in an earlier window, or goes on in the next one.  With
     ``added_tokens`` the strings of special tokens in a text stand for these tokens.
     """
-    tokens = staged(token_rows(docs, tokenizer_path, end_id, added_tokens), "tokens")
+    with arrow_rows(docs.sparkSession, _ROWS):
+        tokens = staged(token_rows(docs, tokenizer_path, end_id, added_tokens), "tokens")
     placed = with_offsets(tokens, "part", "doc_tokens", "part_offset")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

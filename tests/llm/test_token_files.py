@@ -206,3 +206,13 @@ def test_pieces_equal_whole_texts_when_pieces_are_forgotten(monkeypatch, path, p
         ids, sizes = tokens.encode(texts, 1)
         wanted = [[*library.encode(text, add_special_tokens=False).ids, 1] for text in texts]
         assert sizes.tolist() == [len(x) for x in wanted] and ids.tolist() == sum(wanted, [])
+
+
+def test_an_encoder_of_little_memory_gives_the_same_ids():
+    texts = [" ".join(f"w{(i * j) % 701}." for i in range(60)) for j in range(1, 30)]
+    small, large = Encoder(BYTES, memory=100), Encoder(BYTES)
+    for _ in range(3):
+        for first in range(0, len(texts), 5):
+            few, many = (e.encode(texts[first : first + 5], 1) for e in (small, large))
+            assert few[0].tolist() == many[0].tolist() and few[1].tolist() == many[1].tolist()
+    assert small._most == 100 and len(small._number) < len(large._number)
