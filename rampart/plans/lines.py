@@ -8,11 +8,16 @@ without ever parsing a line.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rampart.functions.plan import evaluate_once
 
+# A task gets no more events than it can sort whole, as forensic rows, in its memory.
+TASK_EVENTS = 100_000
+
 
 def _s(expr: str) -> str:
     return f"CAST({expr} AS STRING)"
@@ -133,11 +138,15 @@ def with_lines(events: DataFrame) -> DataFrame:
 def lines(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """Event ids with their log line.
 
-    ``tasks`` redistributes the events first: parsing is by far the heaviest part, and a
-    small table is one file that cannot be split.
+    ``tasks`` redistributes the events first, to at least so many tasks: parsing is by far
+    the heaviest part, and a small table is one file that cannot be split.  Larger tables
+    get more tasks, not larger ones, and a task gets neighbouring ids: events of few days,
+    so a table by days gets few files.
     """
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    return with_lines(events.repartition(tasks, "event_id") if tasks else events)
+    if tasks:
+        events = events.repartitionByRange(max(tasks, math.ceil(events.count() / TASK_EVENTS)), "event_id")
+    return with_lines(events)
 
 
 # The same lines for DuckDB: ``seed`` has every seed column, ``line`` and the keys.

@@ -192,3 +192,61 @@ def test_newest_of_a_year_read_few_days(spark, tmp_path, monkeypatch):
     one = search.newest_events(spark, path, "action = :a AND src_ip LIKE :s", {"a": "Allowed", "s": "10.%"}, limit=7)
     assert one.collect() == search.search_events(forensic.read_forensic(spark, path), "action = 'Allowed'", limit=7).collect()
     assert search.newest_events(spark, path, "action = 'Nothing'").collect() == []
+
+
+def test_larger_tables_get_more_tasks_of_neighbouring_ids(spark, tmp_path, monkeypatch):
+    from rampart.plans import lines
+
+    columns = "event_id long, user_id long, event_type string, value double"
+    rows = [(i * 37 % 1_000, i % 50, "click", i / 7) for i in range(1_000)]
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "events.parquet"))
+    few = lines.lines(spark, str(tmp_path), 2)
+    monkeypatch.setattr(lines, "TASK_EVENTS", 100)
+    many = lines.lines(spark, str(tmp_path), 2)
+    assert sorted(few.collect()) == sorted(many.collect()) and few.count() == 1_000
+    parts = many.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.min("event_id").alias("a"), F.max("event_id").alias("b"))
+    found = parts.orderBy("a").collect()
+    assert len(found) >= 8 and max(r.n for r in found) <= 250
+    assert all(x.b < y.a for x, y in zip(found, found[1:]))
+
+
+def test_a_task_that_sorts_rows_reads_few_stored_ones(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    frame = batch(spark, range(60), spread=DAY // 20)
+    frame.repartition(6).write.parquet(str(tmp_path / "events"))
+    sorting = []
+
+    def writer(rows, row_group_bytes, given=forensic._writer):
+        sorting.append(int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b")))
+        return given(rows, row_group_bytes)
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(forensic, "_writer", writer)
+    forensic.upsert_forensic(spark.read.parquet(str(tmp_path / "events")), path, fresh_ids=True)
+    forensic.compact_forensic(spark, path)
+    assert len(sorting) == 2 and max(sorting) <= 16 << 20
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert stored(spark, path) == expected([frame])
+    clustered = next(s.name for s in forensic.manifest(spark, path).segments if s.clustered and s.days)
+    files = (tmp_path / "t" / "data" / f"segment={clustered}").rglob("*.parquet")
+    assert {pq.read_metadata(p).row_group(0).column(0).compression for p in files} == {"ZSTD"}
+    assert forensic.ROWS_PER_FILE <= 200_000
+
+
+def test_batches_of_a_query_parse_lines_once(spark, tmp_path, monkeypatch):
+    from rampart.plans import queries, store
+
+    rows = [(i, i % 50, "purchase", i / 7) for i in range(120)]
+    columns = "event_id long, user_id long, event_type string, value double"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "events.parquet"))
+    sources = []
+    for module in (store.forensic, queries.writers):
+
+        def upsert(events, path, given=forensic.upsert_forensic, **options):
+            sources.append(events.inputFiles())
+            return given(events, path, **options)
+
+        monkeypatch.setattr(module, "upsert_forensic", upsert)
+    store._upserted(spark, str(tmp_path))
+    queries.forensic_upsert(spark, str(tmp_path))
+    assert len(sources) == 4 and not any("events.parquet/" in f for files in sources for f in files)
