@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,10 +34,24 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` as a Parquet table in the shared folder, computed once."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_splits(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs started inside read at most so many bytes of files per task: for rows that take
+    far more memory than they take on disk."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", before.strip().lower()).groups()
+    spark.conf.set(name, str(min(size, int(number) << 10 * " kmgtp".index(unit or " "))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library made."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rampart.functions.files import names, publish, read_text
-from rampart.functions.session import remove
+from rampart.functions.session import remove, small_splits
 from rampart.operators.export import forensic_rows
 from rampart.operators.layout import cuts, interleaved
 from rampart.operators.lookup import BROADCAST_BYTES
@@ -36,7 +36,10 @@ from rampart.schema import FORENSIC_COLUMNS
 
 KEYS = ["raw_hash", "src_ip", "dst_ip", "vendor", "action", "severity"]
 BITS = 5
-ROWS_PER_FILE = 1_000_000
+# A task sorts the rows of its file, some KB each, in its memory.
+ROWS_PER_FILE = 200_000
+# A task that sorts whole rows reads so much of stored ones, which are packed ten times and more.
+_SPLIT_BYTES = 16 << 20
 # Bytes that an id and its segment may take when sent to every executor.
 _ID_BYTES = 128
 _RETRIES = 20
@@ -139,7 +142,8 @@ def upsert_forensic(
     schema = rows.schema.json()
     first = uuid.uuid4().hex
     ordered = rows.withColumn("ingest_day", ingest_day()).sortWithinPartitions("ingest_day", "vendor", "src_ip")
-    _writer(ordered, row_group_bytes).parquet(f"{path}/data/segment={first}")
+    with small_splits(spark, _SPLIT_BYTES):
+        _writer(ordered, row_group_bytes).parquet(f"{path}/data/segment={first}")
     days = _written(spark, path, first, schema)
     second, second_days = uuid.uuid4().hex, {}
     if not fresh_ids and days:
@@ -234,7 +238,9 @@ def compact_forensic(
         ordered = rows.withColumn("_place", place).repartitionByRange(files, "ingest_day", "_place")
         name = uuid.uuid4().hex
         ordered = ordered.sortWithinPartitions("ingest_day", "_place").drop("_place")
-        _writer(ordered, row_group_bytes).parquet(f"{path}/data/segment={name}")
+        with small_splits(spark, _SPLIT_BYTES):
+            # Written once, read often: packed more tightly than what a batch adds.
+            _writer(ordered, row_group_bytes).option("compression", "zstd").parquet(f"{path}/data/segment={name}")
         new = Segment(name, True, True, _written(spark, path, name, state.schema))
         kept = []
         for s in state.segments:
