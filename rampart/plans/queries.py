@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rampart.functions import net
-from rampart.functions.session import fresh_path
+from rampart.functions.session import fresh_path, stored
 from rampart.functions.text import strip
 from rampart.operators import enrich, export, features, report, risk, search
 from rampart.operators.classify import with_parser
@@ -690,12 +690,12 @@ def forensic_upsert(spark, sf_dir):
     """All events, then the blocked ones again under another severity: no row may appear
     twice, and the later one counts."""
     path = fresh_path(spark, "forensic")
-    source = events(spark, sf_dir)
+    source = stored(events(spark, sf_dir), "events")
     writers.upsert_forensic(source, path)
     changed = source.where("disposition = 'Blocked'").withColumn("severity", F.lit("Reviewed"))
     writers.upsert_forensic(changed, path)
-    stored = writers.read_forensic(spark, path)
-    return stored.groupBy("vendor").agg(
+    counting = writers.read_forensic(spark, path)
+    return counting.groupBy("vendor").agg(
         F.count("*").alias("rows"),
         F.countDistinct("raw_event").alias("hashes"),
         F.count_if(F.col("severity") == "Reviewed").alias("replaced"),

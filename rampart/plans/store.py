@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rampart.functions.session import fresh_path
+from rampart.functions.plan import evaluate_once
+from rampart.functions.session import fresh_path, stored
 from rampart.operators import search
 from rampart.plans.queries import events, expect, query
 from rampart.schema import FORENSIC_COLUMNS
@@ -18,6 +19,10 @@ CAST(e_in AS BIGINT) AS bytes_in, CAST(e_out AS BIGINT) AS bytes_out, CAST(e_tot
 line || '|' || id || '|' || e_disposition || '|' || {severity} || '|' || coalesce(e_src_ip, '-') || '|' || CAST(n_unmapped AS VARCHAR) AS json_parts
 FROM (SELECT *, sha256('default-collector' || chr(1) || CAST(event_id AS VARCHAR)) AS digest FROM expected),
 LATERAL (SELECT substr(digest, 1, 8) || '-' || substr(digest, 9, 4) || '-' || substr(digest, 13, 4) || '-' || substr(digest, 17, 4) || '-' || substr(digest, 21, 12) AS id)"""
+_MEMBERS = (
+    "raw_event string, lineage struct<event_id: string>, disposition string, severity string, "
+    "src_endpoint struct<ip: string>, unmapped map<string, string>"
+)
 _REVIEWED = "CASE WHEN e_disposition = 'Blocked' THEN 'Reviewed' ELSE e_severity END"
 
 
@@ -25,26 +30,27 @@ def _whole(rows):
     """All columns; of the JSON text members that only the whole event has."""
     as_is = [c for c in FORENSIC_COLUMNS if c not in ("event_id", "ingestion_timestamp", "normalized_json")]
 
-    def member(path: str):
-        return F.get_json_object("normalized_json", path)
-
+    members = F.from_json("normalized_json", _MEMBERS)
     parts = F.concat_ws(
         "|",
-        member("$.raw_event"),
-        member("$.lineage.event_id"),
-        member("$.disposition"),
-        member("$.severity"),
-        F.coalesce(member("$.src_endpoint.ip"), F.lit("-")),
-        F.coalesce(F.size(F.json_object_keys(member("$.unmapped"))), F.lit(0)).cast("string"),
+        "_json.raw_event",
+        "_json.lineage.event_id",
+        "_json.disposition",
+        "_json.severity",
+        F.coalesce("_json.src_endpoint.ip", F.lit("-")),
+        F.coalesce(F.size("_json.unmapped"), F.lit(0)).cast("string"),
     )
     epoch = F.unix_seconds("ingestion_timestamp").alias("ingestion_epoch")
-    return rows.select(F.col("event_id").alias("row_id"), epoch, *as_is, parts.alias("json_parts"))
+    # Parsed once per row, not once per member.
+    read = evaluate_once(rows.select("event_id", "ingestion_timestamp", *as_is, members.alias("_json")))
+    return read.select(F.col("event_id").alias("row_id"), epoch, *as_is, parts.alias("json_parts"))
 
 
 def _upserted(spark, sf_dir) -> str:
-    """All events, then the blocked ones again under another severity."""
+    """All events, then the blocked ones again under another severity.  Both batches come
+    from events that are parsed once and stored."""
     path = fresh_path(spark, "forensic")
-    source = events(spark, sf_dir)
+    source = stored(events(spark, sf_dir), "events")
     forensic.upsert_forensic(source, path, label="first")
     forensic.upsert_forensic(source.where("disposition = 'Blocked'").withColumn("severity", F.lit("Reviewed")), path)
     return path
