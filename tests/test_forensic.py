@@ -240,12 +240,13 @@ def test_batches_of_a_query_parse_lines_once(spark, tmp_path, monkeypatch):
     columns = "event_id long, user_id long, event_type string, value double"
     spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "events.parquet"))
     sources = []
-    for module in (store.forensic, queries.writers):
+    given = forensic.upsert_forensic
 
-        def upsert(events, path, given=forensic.upsert_forensic, **options):
-            sources.append(events.inputFiles())
-            return given(events, path, **options)
+    def upsert(events, path, **options):
+        sources.append(events.inputFiles())
+        return given(events, path, **options)
 
+    for module in (store.forensic, queries.writers):
         monkeypatch.setattr(module, "upsert_forensic", upsert)
     store._upserted(spark, str(tmp_path))
     queries.forensic_upsert(spark, str(tmp_path))
