@@ -107,7 +107,7 @@ class Encoder:
         found = self._tokenizer.get_added_tokens_decoder().values() if added_tokens else ()
         self._added = [token.content for token in found]
         # The string of a special token between pieces keeps their ids apart.
-        self._joiner = Tokenizer.from_file(path)
+        self._joiner = self._tokenizer if added_tokens else Tokenizer.from_file(path)
         plain = [
             token.content
             for token in self._joiner.get_added_tokens_decoder().values()

@@ -12,13 +12,12 @@ gives no pieces.  Documents follow each other as the input's tasks read them.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rampart.llm.common import arrow_rows, lean, slices, staged, with_offsets
@@ -31,10 +30,6 @@ _ROWS = 1_000
 _SLICE = 1_000_000
 _REMEMBERED = 250_000
 _HEAP_MB = 64
-_PIECES = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-    "sequence_id long, offset long, continued boolean, continues boolean, ids binary"
-)
 
 
 def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int, added_tokens: bool = False) -> DataFrame:
@@ -89,27 +84,30 @@ def pack(
         tokens = staged(token_rows(docs, tokenizer_path, end_id, added_tokens), "tokens")
     placed = with_offsets(tokens, "part", "doc_tokens", "part_offset")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "place", "doc_tokens")))
-            for (doc_id, place, total), blob in zip(rows, batch.column("ids")):
-                view = memoryview(blob.as_buffer())
-                start = 0
-                while start < total:
-                    at = place + start
-                    length = min(window - at % window, total - start)
-                    ids = view[4 * start : 4 * (start + length)]
-                    out.append(
-                        (doc_id, start, length, zlib.crc32(ids), total, at // window, at % window,
-                         start > 0, start + length < total, bytes(ids) if keep_ids else None)
-                    )
-                    start += length
-            names = [x.split()[0] for x in _PIECES.split(", ")]
-            kinds = [pa.int64()] * 7 + [pa.bool_()] * 2 + [pa.binary()]
-            columns = zip(*out) if out else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-    place = (F.col("part_offset") + F.col("part_start")).alias("place")
-    pieces = placed.select("doc_id", place, "doc_tokens", "ids").mapInArrow(cut, _PIECES)
+    # Cut by Spark itself, document by document: no batch of documents and all their pieces is
+    # held by a worker, and once more in the executor's buffers.
+    first = F.expr(f"place div {window}")
+    last = F.expr(f"(place + doc_tokens - 1) div {window}")
+
+    def piece(sequence: Column) -> Column:
+        start = F.greatest(sequence * window - F.col("place"), F.lit(0).cast("long"))
+        stop = F.least((sequence + 1) * window - F.col("place"), F.col("doc_tokens"))
+        ids = F.substring("ids", (4 * start + 1).cast("int"), (4 * (stop - start)).cast("int"))
+        named = {"sequence_id": sequence, "start": start, "length": stop - start, "ids": ids}
+        return F.struct(*[value.alias(name) for name, value in named.items()])
+
+    documents = placed.select("doc_id", (F.col("part_offset") + F.col("part_start")).alias("place"), "doc_tokens", "ids")
+    cut = documents.select("doc_id", "place", "doc_tokens", F.inline(F.transform(F.sequence(first, last), piece)))
+    pieces = cut.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        ((F.col("place") + F.col("start")) % window).alias("offset"),
+        (F.col("start") > 0).alias("continued"),
+        (F.col("start") + F.col("length") < F.col("doc_tokens")).alias("continues"),
+        "ids",
+    )
     return pieces if keep_ids else pieces.drop("ids")

@@ -1,6 +1,7 @@
 """Packing, Re-Pair files and trie counts against plain use of the tokenizers."""
 
 import random
+import re
 import unicodedata
 import zlib
 
@@ -55,6 +56,17 @@ def test_packing_is_an_exact_round_trip(odd_docs):
     check_packing(odd_docs.repartition(3), 100)
 
 
+def test_documents_are_cut_without_python(odd_docs):
+    """Workers that hold batches of whole documents and of their pieces took too much of an executor."""
+    pieces = packing.pack(odd_docs, BYTES, end_id=1, window=100)
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Arrow|Pandas|Python", plan), plan
+    assert pieces.where("start > 0 and length < 100").count() > 0
+    for row in pieces.where("not continued").select("length", "doc_tokens", "offset", "continues", "ids").collect():
+        assert row.length == min(row.doc_tokens, 100 - row.offset) and row.continues == (row.length < row.doc_tokens)
+        assert len(row.ids) == 4 * row.length
+
+
 def test_packing_of_nothing(no_docs):
     assert packing.pack(no_docs, BYTES, end_id=1).collect() == []
 
