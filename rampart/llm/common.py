@@ -55,20 +55,44 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_CHARS) -> Iter
 Batches = Iterator[pa.RecordBatch]
 
 
-def lean(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+# What clears the caches that a worker process keeps from task to task.
+_CACHES: list[Callable[[], None]] = []
+
+
+def kept_between_tasks(cached: Callable) -> Callable:
+    """A ``lru_cache`` of a worker process, which tasks that have no use for it clear."""
+    _CACHES.append(cached.cache_clear)
+    return cached
+
+
+def _forget() -> None:
+    for clear in _CACHES:
+        clear()
+    _give_back()
+
+
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    # Of the C library, where there is such a call.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(function: Callable[[Batches], Batches], keeps: bool = False) -> Callable[[Batches], Batches]:
     """The same for ``mapInArrow``, giving memory back to the machine after each task: a
-    worker process lives on, and would keep the greatest peak of all its tasks."""
+    worker process lives on, and would keep the greatest peak of all its tasks.  What tasks
+    of other operators have left in ``kept_between_tasks`` goes first, unless this one
+    ``keeps`` it for its own use."""
 
     def run(batches: Batches) -> Batches:
+        if not keeps:
+            _forget()
         try:
             yield from function(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            # Of the C library, where there is such a call.
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            _give_back()
 
     return run
 

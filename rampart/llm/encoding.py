@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from rampart.llm.common import keep_heap
+from rampart.llm.common import keep_heap, kept_between_tasks
 
 # Letters that become a letter and a mark in lower case or in composed form: a tokenizer
 # joins the mark with punctuation that follows, so a piece does not end at one.
@@ -233,8 +233,9 @@ class Encoder:
         return out, sizes + 1
 
 
+@kept_between_tasks
 @lru_cache(maxsize=2)
 def encoder(path: str, added_tokens: bool = False, memory: int = MEMORY, heap_mb: int = 256) -> Encoder:
-    """One per worker process, kept from task to task."""
+    """One per worker process, kept from task to task of operators that encode."""
     keep_heap(heap_mb)
     return Encoder(path, added_tokens, memory)

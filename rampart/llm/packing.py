@@ -61,7 +61,7 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int, added_tokens:
                 )
                 before += int(stops[-1])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(encode), _TOKENS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(encode, keeps=True), _TOKENS)
 
 
 def pack(

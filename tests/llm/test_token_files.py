@@ -14,7 +14,8 @@ from tokenizers.models import Unigram
 
 from rampart.functions.session import fresh_path
 from rampart.llm import counts, packing, repair, stages
-from rampart.llm.encoding import Encoder
+from rampart.llm.common import lean
+from rampart.llm.encoding import Encoder, encoder
 from rampart.llm.queries import QUERIES
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,6 +68,16 @@ def test_documents_are_cut_without_python(odd_docs):
         assert len(row.ids) == 4 * row.length
 
 
+def test_tasks_of_other_operators_clear_the_encoder():
+    """A worker that has packed kept its encoder while it scored the documents of the next run."""
+    encoder.cache_clear()
+    encoder(BYTES, True, 100, 64)
+    list(lean(lambda batches: batches, keeps=True)(iter([])))
+    assert encoder.cache_info().currsize == 1
+    list(lean(lambda batches: batches)(iter([])))
+    assert encoder.cache_info().currsize == 0
+
+
 def test_packing_of_nothing(no_docs):
     assert packing.pack(no_docs, BYTES, end_id=1).collect() == []
 
