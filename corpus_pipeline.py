@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rampart.llm.common import staged, table
-from rampart.llm.stages import dedup_stage, language_stage, mixing_stage, packing_stage, toxicity_stage
+from rampart.llm.common import arrow_rows, staged, table
+from rampart.llm.stages import TEXT_ROWS, dedup_stage, language_stage, mixing_stage, packing_stage, toxicity_stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -26,6 +26,8 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages one after the other on ``documents``; each result is written and reread."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+    # The stages bound this too; afterwards it is again what it was.
+    with arrow_rows(spark, TEXT_ROWS):
+        for name, stage in STAGES:
+            docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

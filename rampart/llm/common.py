@@ -39,6 +39,13 @@ def staged_twice(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return reader.parquet(path), reader.parquet(path)
 
 
+def few_rows(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
+    """A frame of rows that the driver has.  They go there as an Arrow table: from a list,
+    executors would read them by Python workers of another kind, with a daemon that stays."""
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_CHARS) -> Iterator[tuple[int, list[str]]]:
     """First row and texts (NULL: empty) of runs of rows with about ``limit`` bytes.  Only
     the texts of one run are in memory as Python strings."""
@@ -108,12 +115,20 @@ def keep_heap(mb: int = 256) -> None:
         mallopt(-3, 32 << 20)
 
 
+def most_arrow_rows(spark: SparkSession, rows: int) -> None:
+    """From now on jobs of this session hand at most so many rows at once to Python: for
+    frames of wide rows that someone else runs.  A lower bound of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(name))
+    spark.conf.set(name, str(min(rows, before) if before > 0 else rows))
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Jobs started inside hand at most so many rows at once to Python: for wide rows."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    most_arrow_rows(spark, rows)
     try:
         yield
     finally:
@@ -132,5 +147,5 @@ def with_offsets(rows: DataFrame, part: str, total: str, name: str) -> DataFrame
     for key, count in sums:
         offsets.append((key, before))
         before += count
-    offset_rows = spark.createDataFrame(offsets, f"{part} int, {name} long")
+    offset_rows = few_rows(spark, offsets, pa.schema([(part, pa.int32()), (name, pa.int64())]))
     return rows.join(F.broadcast(offset_rows), part)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rampart.llm.common import lean, slices, staged
+from rampart.llm.common import few_rows, lean, slices, staged
 
 TRAIN_ROWS = 20_000
 HASH_BITS = 16
@@ -158,7 +158,7 @@ def _sample(known: DataFrame, rows: int) -> DataFrame:
     level, full = _level([r[1] for r in found], rows), (1 << 63) - 1
     # The text with the least hash is drawn at any share, so that no language is lost.
     limits = [(r[0], full if r[1] <= level else max(r[2], int(full * (level / r[1])))) for r in found]
-    shares = known.sparkSession.createDataFrame(limits, "lang string, most long")
+    shares = few_rows(known.sparkSession, limits, pa.schema([("lang", pa.string()), ("most", pa.int64())]))
     drawn = known.join(F.broadcast(shares), "lang").where(draw <= F.col("most"))
     return staged(drawn.select("lang", "text").dropDuplicates(), "language-sample")
 

@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -281,3 +282,48 @@ def test_stages_take_odd_rows(spark, odd_docs, no_docs):
     assert sum(r.text == "plain words, here and there" for r in kept) == 1
     assert sum(r.text == "other words under the same id" for r in kept) == 1
     assert sum(r.text == "a text without an id" for r in kept) == 1
+
+
+def batch_sizes(docs):
+    """How many rows a job that starts now hands to Python at once."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    return [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+
+
+@pytest.mark.parametrize("name", ["toxicity", "language", "near_dedup", "packing"])
+def test_stages_hand_few_texts_at_once_to_python(spark, name):
+    option = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(option)
+    docs = spark.range(1_200).coalesce(1).selectExpr("id doc_id", "'a text' text", "'en' lang", "'a' source", "6L n_chars")
+    try:
+        spark.conf.set(option, "10000")
+        dict(corpus_pipeline.STAGES)[name](spark, docs.limit(3), "/root/testdata/sf0.001")
+        # The stage's result is computed later, by whoever writes it.
+        assert batch_sizes(docs) == [500, 500, 200]
+        spark.conf.set(option, "300")
+        stages.most_arrow_rows(spark, stages.TEXT_ROWS)
+        assert max(batch_sizes(docs)) == 300
+    finally:
+        spark.conf.set(option, before)
+
+
+def test_pipeline_leaves_the_session_as_it_was(spark, monkeypatch):
+    option = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, inside = spark.conf.get(option), []
+
+    def stage(spark, docs, sf_dir):
+        stages.most_arrow_rows(spark, stages.TEXT_ROWS)
+        inside.append(spark.conf.get(option))
+        return docs
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage), ("two", stage)])
+    try:
+        spark.conf.set(option, "4000")
+        assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+        assert inside == ["500", "500"] and spark.conf.get(option) == "4000"
+    finally:
+        spark.conf.set(option, before)
