@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rampart.llm import covertree, language, minhash, mixing, pq, stages, toxicity
-from rampart.llm.common import WORD
+from rampart.llm.common import WORD, few_rows, with_offsets
 from rampart.llm.components import components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -327,3 +327,13 @@ def test_pipeline_leaves_the_session_as_it_was(spark, monkeypatch):
         assert inside == ["500", "500"] and spark.conf.get(option) == "4000"
     finally:
         spark.conf.set(option, before)
+
+
+def test_offsets_of_the_driver_need_no_python_workers(spark, capsys):
+    rows = spark.createDataFrame([(2, 5), (0, 1), (0, 2), (2, 1), (7, 4)], "part int, n long").localCheckpoint()
+    placed = with_offsets(rows.where("n > 0"), "part", "n", "before")
+    assert sorted(tuple(r) for r in placed.select("part", "n", "before").collect()) == [(0, 1, 0), (0, 2, 0), (2, 1, 3), (2, 5, 3), (7, 4, 9)]
+    offsets = few_rows(spark, [(0, 0), (2, 3)], pa.schema([("part", pa.int32()), ("before", pa.int64())]))
+    offsets.explain()
+    assert "LocalTableScan" in capsys.readouterr().out and offsets.dtypes == [("part", "int"), ("before", "bigint")]
+    assert with_offsets(rows.where("n < 0"), "part", "n", "before").collect() == []
