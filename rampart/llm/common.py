@@ -75,10 +75,11 @@ def kept_between_tasks(cached: Callable) -> Callable:
 def _forget() -> None:
     for clear in _CACHES:
         clear()
-    _give_back()
+    give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
+    """Memory that this process has freed goes back to the machine."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     # Of the C library, where there is such a call.
@@ -99,7 +100,7 @@ def lean(function: Callable[[Batches], Batches], keeps: bool = False) -> Callabl
         try:
             yield from function(batches)
         finally:
-            _give_back()
+            give_back()
 
     return run
 

@@ -2,7 +2,7 @@
 
 Nodes are longs.  A large-star step links a node's greater neighbours to the least node of
 its neighbourhood, a small-star step its smaller ones; in the end every node hangs at the
-least node of its component.  The links are written after each pair of steps, so no lineage
+least node of its component.  The links are written after each step, so no lineage or plan
 grows and a lost executor costs a step.
 """
 
@@ -24,15 +24,19 @@ def attach(rows: DataFrame, keyed: DataFrame, key: str, total: int) -> DataFrame
     how many rows of ``rows`` have it (at least roughly).
 
     Keys with more than 1/1000 of all rows are at most 1000, a proven bound: their rows of
-    ``keyed`` are broadcast, so a hot key stays where it is.  All others are shuffled.
+    ``keyed`` are broadcast, so a hot key stays where it is.  All others are shuffled; without
+    a hot key that is all.  ``keyed`` is read several times, so it should be a staged table:
+    a longer plan would stand several times in the result's, for the driver to work through.
     """
     limit = max(HOT_ROWS, int(total * HOT_SHARE))
     names = [c for c in keyed.columns if c not in (key, "n_rows")]
+    kept = rows.columns
+    if (keyed.agg(F.max("n_rows")).first()[0] or 0) <= limit:
+        return rows.join(keyed.select(key, *names), key).select(*kept, *names)
     hot = keyed.where(F.col("n_rows") > limit).select(key, *names)
     cold = keyed.where(F.col("n_rows") <= limit).select(key, *names)
     mark = F.lit(True).alias("_hot")
     seen = rows.join(F.broadcast(hot.select(key, F.struct(*names, mark).alias("_found"))), key, "left")
-    kept = rows.columns
     first = seen.where(F.col("_found").isNotNull()).select(*kept, *(F.col("_found")[n].alias(n) for n in names))
     rest = seen.where(F.col("_found").isNull()).select(*kept)
     return first.unionByName(rest.join(cold, key).select(*kept, *names))
@@ -42,8 +46,8 @@ def _star(links: DataFrame, total: int) -> DataFrame:
     """Rows (u, v, m): each link in both directions with the least of u and its
     neighbours."""
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows"))
-    return attach(both, least.withColumn("m", F.least("u", "m")), "u", 2 * total)
+    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n_rows"))
+    return attach(both, staged(least, "least"), "u", 2 * total)
 
 
 def _large_star(links: DataFrame, total: int) -> DataFrame:
@@ -53,7 +57,7 @@ def _large_star(links: DataFrame, total: int) -> DataFrame:
 
 def _small_star(links: DataFrame, total: int) -> DataFrame:
     """``links`` have u > v."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows"))
+    least = staged(links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows")), "least")
     near = attach(links, least, "u", total).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     return near.union(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -65,7 +69,8 @@ def components(links: DataFrame) -> DataFrame:
     current = staged(oriented, "links")
     state = _state(current)
     while state[0]:
-        current = staged(_small_star(_large_star(current, state[0]), state[0]), "links")
+        far = staged(_large_star(current, state[0]), "links")
+        current = staged(_small_star(far, state[0]), "links")
         before, state = state, _state(current)
         if before == state:
             break

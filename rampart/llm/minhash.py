@@ -335,7 +335,7 @@ def link_nodes(docs: DataFrame, signed: DataFrame, *, words: int, percent: int)
     nodes = staged(distinct, "nodes")
     keyed = nodes.select(F.col("of_set").alias("node"), F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
-    shared = shared.withColumn("bucket_rows", F.col("n_rows"))
+    shared = staged(shared.withColumn("bucket_rows", F.col("n_rows")), "shared")
     buckets = staged(attach(keyed, shared, "key", BANDS * nodes.count()), "buckets")
     size = buckets.count()
     if not size:
@@ -346,7 +346,7 @@ def link_nodes(docs: DataFrame, signed: DataFrame, *, words: int, percent: int)
     sets = staged(_node_sets(docs, wanted, words), "sets")
 
     middle = F.max(F.struct("weight", "node"))["node"].alias("hub")
-    hubs = members.groupBy("key").agg(F.count("*").alias("n_rows"), middle)
+    hubs = staged(members.groupBy("key").agg(F.count("*").alias("n_rows"), middle), "hubs")
     pairs = staged(attach(members, hubs, "key", size).where("node <> hub").select(*_pairs("node", "hub")).distinct(), "pairs")
     with arrow_rows(docs.sparkSession, _PAIR_ROWS):
         verified = staged(_verified(pairs, sets, percent), "verified")
@@ -356,7 +356,7 @@ def link_nodes(docs: DataFrame, signed: DataFrame, *, words: int, percent: int)
     marked = staged(found, "marked")
     top = F.max(F.struct("weight", "node", "label"))["label"].alias("hub_label")
     open_ = marked.groupBy("key").agg(F.count("*").alias("n_rows"), F.min("label").alias("low"), F.max("label").alias("high"), top)
-    open_ = open_.where("low <> high").select("key", "n_rows", F.col("n_rows").alias("bucket_rows"), "hub_label")
+    open_ = staged(open_.where("low <> high").select("key", "n_rows", F.col("n_rows").alias("bucket_rows"), "hub_label"), "open")
     left = staged(attach(marked, open_, "key", size), "left")
     small = left.where(F.col("bucket_rows") <= SMALL_BUCKET).select("key", "node", "label")
     other = small.select("key", F.col("node").alias("node2"), F.col("label").alias("label2"))
@@ -366,7 +366,7 @@ def link_nodes(docs: DataFrame, signed: DataFrame, *, words: int, percent: int)
     others = large.groupBy("key").agg(
         F.count("*").alias("n_rows"), F.count_if(F.col("label") != F.col("hub_label")).alias("others")
     )
-    others = others.select("*", F.col("n_rows").alias("bucket"))
+    others = staged(others.select("*", F.col("n_rows").alias("bucket")), "others")
     large = attach(large.drop("bucket_rows"), others, "key", size).withColumnRenamed("bucket", "n_rows")
     with arrow_rows(docs.sparkSession, _PAIR_ROWS):
         links = staged(links.union(_block_links(large, sets, percent)), "more-links")
@@ -392,7 +392,7 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     if labels is not None:
         of_node = nodes.join(labels, "node", "left").select("node", "least", "n_rows", F.coalesce("component", "node").alias("group"))
         of_node = staged(of_node, "node-groups")
-        groups = of_node.groupBy("group").agg(F.min("least").alias("component_id"), F.count("*").alias("n_rows"))
+        groups = staged(of_node.groupBy("group").agg(F.min("least").alias("component_id"), F.count("*").alias("n_rows")), "groups")
         nodes = attach(of_node.select("node", "group", F.col("n_rows").alias("node_rows")), groups, "group", of_node.count())
         nodes = nodes.select("node", "component_id", "group", F.col("node_rows").alias("n_rows"))
     else:

@@ -169,7 +169,7 @@ def near_vectors(
     info = nodes.select("node", "least", "copies").join(counts, "node", "left").join(groups, "node", "left")
     info = staged(info.withColumn("group", F.coalesce("component", "node")), "vector-info")
     total = info.count()
-    least = info.groupBy("group").agg(F.min("least").alias("component_id"), F.count("*").alias("n_rows"))
+    least = staged(info.groupBy("group").agg(F.min("least").alias("component_id"), F.count("*").alias("n_rows")), "vector-groups")
     named = attach(info.select("node", "copies", "links", "group"), least, "group", total)
     links = (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long")
     per_node = staged(named.select("node", links.alias("n_links"), "component_id", F.col("copies").alias("n_rows")), "vector-ids")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rampart.llm.common import WORD, lean, slices
+from rampart.llm.common import WORD, give_back, lean, slices
 
 TRAIN_ROWS = 1_500
 FEATURE_BITS = 18
@@ -337,7 +337,11 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> Toxi
     for bad in (False, True):
         weight[toxic == bad] = counts.get(bad, 0) / max(1, (toxic == bad).sum())
     # To one per row on average, so that the ridge means the same for any number of labels.
-    return fit(found["text"].tolist(), toxic, weight / max(1e-9, weight.mean()) if len(weight) else weight)
+    model = fit(found["text"].tolist(), toxic, weight / max(1e-9, weight.mean()) if len(weight) else weight)
+    # The driver would keep the sample's memory beside its JVM's for as long as it lives.
+    del found
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: ToxicityModel, *, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

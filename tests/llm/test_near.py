@@ -1,5 +1,7 @@
 """Near-duplicates, vectors, components and the pipeline against brute force."""
 
+import contextlib
+import io
 import random
 import re
 from collections import defaultdict
@@ -10,8 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+import rampart.llm.components as stars
 from rampart.llm import covertree, language, minhash, mixing, pq, stages, toxicity
-from rampart.llm.common import WORD, few_rows, with_offsets
+from rampart.llm.common import WORD, few_rows, staged, with_offsets
 from rampart.llm.components import components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -118,6 +121,26 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+def test_steps_of_components_have_short_plans(spark, monkeypatch):
+    """A step reads its links a few times, whether a key is hot or not: the driver holds
+    each plan, and works on it again after each of its stages."""
+    scans = []
+
+    def counted(df, name):
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            df.explain()
+        scans.append(plan.getvalue().count("FileScan"))
+        return staged(df, name)
+
+    monkeypatch.setattr(stars, "staged", counted)
+    chain, star = [(100 + i, 101 + i) for i in range(6)], [(0, i) for i in range(1, 50)]
+    for hot_rows in (stars.HOT_ROWS, 20):
+        monkeypatch.setattr(stars, "HOT_ROWS", hot_rows)
+        found = components(spark.createDataFrame(chain + star, "u long, v long")).collect()
+        assert {(r.node, r.component) for r in found} == {(i, 0) for i in range(50)} | {(100 + i, 100) for i in range(7)}
+    assert 0 < max(scans) <= 8
+
+
 # ----------------------------------------------------------------------- vectors
 def vector_rows():
     rng = np.random.default_rng(2)
