@@ -33,23 +33,50 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` as a Parquet table in the shared folder, computed once."""
-    path = fresh_path(df.sparkSession, name)
+    return _stored_at(df, fresh_path(df.sparkSession, name))
+
+
+def _stored_at(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored_meanwhile(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The same, until the block ends."""
+    path = fresh_path(df.sparkSession, name)
+    try:
+        yield _stored_at(df, path)
+    finally:
+        remove(df.sparkSession, path)
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 @contextmanager
 def small_splits(spark: SparkSession, size: int) -> Iterator[None]:
     """Jobs started inside read at most so many bytes of files per task: for rows that take
     far more memory than they take on disk."""
     name = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(name)
-    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", before.strip().lower()).groups()
-    spark.conf.set(name, str(min(size, int(number) << 10 * " kmgtp".index(unit or " "))))
-    try:
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", spark.conf.get(name).strip().lower()).groups()
+    with _setting(spark, name, str(min(size, int(number) << 10 * " kmgtp".index(unit or " ")))):
+        yield
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What queries built inside have shuffled is deleted as each ends, not when the driver's
+    memory happens to be collected."""
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         yield
-    finally:
-        spark.conf.set(name, before)
 
 
 def remove(spark: SparkSession, path: str) -> None:

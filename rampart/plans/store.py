@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rampart.functions.plan import evaluate_once
-from rampart.functions.session import fresh_path, stored
+from rampart.functions.session import fresh_path, shuffles_removed, stored_meanwhile
 from rampart.operators import search
 from rampart.plans.queries import events, expect, query
 from rampart.schema import FORENSIC_COLUMNS
@@ -48,11 +48,11 @@ def _whole(rows):
 
 def _upserted(spark, sf_dir) -> str:
     """All events, then the blocked ones again under another severity.  Both batches come
-    from events that are parsed once and stored."""
+    from events that are parsed once and stored as long as they are needed."""
     path = fresh_path(spark, "forensic")
-    source = stored(events(spark, sf_dir), "events")
-    forensic.upsert_forensic(source, path, label="first")
-    forensic.upsert_forensic(source.where("disposition = 'Blocked'").withColumn("severity", F.lit("Reviewed")), path)
+    with shuffles_removed(spark), stored_meanwhile(events(spark, sf_dir), "events") as source:
+        forensic.upsert_forensic(source, path, label="first")
+        forensic.upsert_forensic(source.where("disposition = 'Blocked'").withColumn("severity", F.lit("Reviewed")), path)
     return path
 
 
@@ -67,6 +67,8 @@ def forensic_compacted(spark, sf_dir):
     """The same after compaction and a replayed first batch, which is not written again."""
     path = _upserted(spark, sf_dir)
     forensic.compact_forensic(spark, path)
+    # Nobody else knows this table.
+    forensic.vacuum_forensic(spark, path)
     forensic.upsert_forensic(events(spark, sf_dir), path, label="first")
     return _whole(forensic.read_forensic(spark, path))
 

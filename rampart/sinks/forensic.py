@@ -12,7 +12,8 @@ compacted ones need no such look.
 
 ``compact_forensic`` writes the rows that count of the days in question anew, on a
 space-filling curve over the looked-up keys, as one segment without replaced rows.  Days
-that it need not touch stay as they are.
+that it need not touch stay as they are.  It goes through the days in rounds of bounded
+size, so what is shuffled at a time does not grow with the table (a day is never cut).
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rampart.functions.files import names, publish, read_text
-from rampart.functions.session import remove, small_splits
+from rampart.functions.session import remove, shuffles_removed, small_splits
 from rampart.operators.export import forensic_rows
 from rampart.operators.layout import cuts, interleaved
 from rampart.operators.lookup import BROADCAST_BYTES
@@ -42,6 +44,10 @@ ROWS_PER_FILE = 200_000
 _SPLIT_BYTES = 16 << 20
 # Bytes that an id and its segment may take when sent to every executor.
 _ID_BYTES = 128
+# A round of compaction fills the cores once, or so many.
+_ROUND_FILES = 8
+# 2 KB to 1 MB: with fewer sizes to choose from, a file of some rows has three filters of 64 KB.
+_BLOOM_SIZES = 10
 _RETRIES = 20
 
 
@@ -100,9 +106,10 @@ def ingest_day() -> Column:
 
 def _writer(rows: DataFrame, row_group_bytes: int | None) -> DataFrameWriter:
     """Bloom filters, as large as their columns need, on what is looked up singly."""
-    writer = rows.write.partitionBy("ingest_day").option("parquet.bloom.filter.adaptive.enabled", "true")
+    writer = rows.write.partitionBy("ingest_day").option("compression", "zstd").option("parquet.bloom.filter.adaptive.enabled", "true")
     for name in ("raw_hash", "src_ip", "dst_ip"):
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+        writer = writer.option(f"parquet.bloom.filter.candidates.number#{name}", _BLOOM_SIZES)
     return writer.option("parquet.block.size", row_group_bytes) if row_group_bytes else writer
 
 
@@ -142,18 +149,19 @@ def upsert_forensic(
     schema = rows.schema.json()
     first = uuid.uuid4().hex
     ordered = rows.withColumn("ingest_day", ingest_day()).sortWithinPartitions("ingest_day", "vendor", "src_ip")
-    with small_splits(spark, _SPLIT_BYTES):
-        _writer(ordered, row_group_bytes).parquet(f"{path}/data/segment={first}")
-    days = _written(spark, path, first, schema)
     second, second_days = uuid.uuid4().hex, {}
-    if not fresh_ids and days:
-        own = _stored(spark, path, [first], schema)
-        repeated = own.groupBy("event_id").count().where("count > 1").select("event_id")
-        if not repeated.isEmpty():
-            # A second segment with the row that counts of each repeated id.
-            again = own.join(repeated, "event_id", "left_semi").drop("segment", "ingest_day").select(*FORENSIC_COLUMNS)
-            _writer(newest_per_id(again).withColumn("ingest_day", ingest_day()), row_group_bytes).parquet(f"{path}/data/segment={second}")
-            second_days = _written(spark, path, second, schema)
+    with shuffles_removed(spark):
+        with small_splits(spark, _SPLIT_BYTES):
+            _writer(ordered, row_group_bytes).parquet(f"{path}/data/segment={first}")
+        days = _written(spark, path, first, schema)
+        if not fresh_ids and days:
+            own = _stored(spark, path, [first], schema)
+            repeated = own.groupBy("event_id").count().where("count > 1").select("event_id")
+            if not repeated.isEmpty():
+                # A second segment with the row that counts of each repeated id.
+                again = own.join(repeated, "event_id", "left_semi").drop("segment", "ingest_day").select(*FORENSIC_COLUMNS)
+                _writer(newest_per_id(again).withColumn("ingest_day", ingest_day()), row_group_bytes).parquet(f"{path}/data/segment={second}")
+                second_days = _written(spark, path, second, schema)
 
     def change(now: Manifest) -> list[Segment] | None:
         if label is not None and any(s.label == label for s in now.segments):
@@ -175,26 +183,44 @@ def _counting(spark: SparkSession, path: str, days: list[str] | None, state: Man
     state = state or manifest(spark, path)
     if state is None:
         raise FileNotFoundError(f"no forensic table at {path}")
+    rows = _live(spark, path, state, days)
+    newer = _newer(spark, path, state) if _segments(state, days) else None
+    if newer is None:
+        return rows
+    return rows.join(newer, _replaced(rows, newer, state), "left_anti")
+
+
+def _segments(state: Manifest, days: list[str] | None) -> list[Segment]:
     wanted = None if days is None else set(days)
-    live = [s for s in state.segments if s.days and (wanted is None or wanted & set(s.days))]
+    return [s for s in state.segments if s.days and (wanted is None or wanted & set(s.days))]
+
+
+def _live(spark: SparkSession, path: str, state: Manifest, days: list[str] | None) -> DataFrame:
+    """Rows of the listed segments and their days, also those that newer ones replace."""
+    live = _segments(state, days)
     if not live:
         kinds = T.StructType.fromJson(json.loads(state.schema)).add("segment", "string").add("ingest_day", "date")
         return spark.createDataFrame([], kinds)
     rows = _stored(spark, path, [s.name for s in live], state.schema)
     day = F.col("ingest_day").cast("string")
-    if wanted is not None:
-        rows = rows.where(F.col("ingest_day").isin([_date(d) for d in sorted(wanted)]))
+    if days is not None:
+        rows = rows.where(F.col("ingest_day").isin([_date(d) for d in sorted(set(days))]))
     for s in live:
         if not s.whole:
             rows = rows.where((F.col("segment") != s.name) | day.isin(sorted(s.days)))
+    return rows
+
+
+def _newer(spark: SparkSession, path: str, state: Manifest) -> DataFrame | None:
     newer = winners(spark, path, state)
-    if newer is None:
-        return rows
-    ranks = {s.name: i for i, s in enumerate(state.segments)}
-    if sum(sum(s.days.values()) for s in state.segments if not s.fresh) * _ID_BYTES <= BROADCAST_BYTES:
+    if newer is not None and sum(sum(s.days.values()) for s in state.segments if not s.fresh) * _ID_BYTES <= BROADCAST_BYTES:
         newer = F.broadcast(newer)
-    old = (rows["event_id"] == newer["_id"]) & (_rank(ranks, rows["segment"]) < newer["_newest"])
-    return rows.join(newer, old, "left_anti")
+    return newer
+
+
+def _replaced(rows: DataFrame, newer: DataFrame, state: Manifest) -> Column:
+    ranks = {s.name: i for i, s in enumerate(state.segments)}
+    return (rows["event_id"] == newer["_id"]) & (_rank(ranks, rows["segment"]) < newer["_newest"])
 
 
 def _date(day: str):
@@ -230,18 +256,28 @@ def compact_forensic(
         open_ = [s for s in state.segments if not s.clustered]
         if not open_:
             return []
-        days = {day for s in open_ for day in s.days} | _replaced_days(spark, path, state)
-        rows = _counting(spark, path, sorted(days), state).drop("segment")
-        total = sum(n for s in state.segments for day, n in s.days.items() if day in days)
-        place = interleaved(cuts(rows, KEYS, BITS), BITS)
-        files = max(1, math.ceil(total / rows_per_file))
-        ordered = rows.withColumn("_place", place).repartitionByRange(files, "ingest_day", "_place")
         name = uuid.uuid4().hex
-        ordered = ordered.sortWithinPartitions("ingest_day", "_place").drop("_place")
-        with small_splits(spark, _SPLIT_BYTES):
-            # Written once, read often: packed more tightly than what a batch adds.
-            _writer(ordered, row_group_bytes).option("compression", "zstd").parquet(f"{path}/data/segment={name}")
-        new = Segment(name, True, True, _written(spark, path, name, state.schema))
+        with shuffles_removed(spark), _replaced_ids(spark, path, state) as gone:
+            dropped = {str(r.ingest_day): r["count"] for r in gone.groupBy("ingest_day").count().collect()} if gone is not None else {}
+            days = {day for s in open_ for day in s.days} | set(dropped)
+            counts = dict.fromkeys(sorted(days), 0)
+            for s in state.segments:
+                counts |= {day: counts[day] + n for day, n in s.days.items() if day in days}
+            stored = _live(spark, path, state, sorted(days))
+            place = interleaved(cuts(stored, KEYS, BITS), BITS)
+            for some in _rounds(spark, counts, dropped, rows_per_file):
+                own_days = F.col("ingest_day").isin([_date(day) for day in some])
+                rows = stored.where(own_days)
+                if ids := sum(dropped.get(day, 0) for day in some):
+                    own = gone.where(own_days).drop("ingest_day")
+                    rows = rows.join(F.broadcast(own) if ids * _ID_BYTES <= BROADCAST_BYTES else own, ["event_id", "segment"], "left_anti")
+                # A file has rows of one day only, so some days take as many tasks.
+                files = max(1, math.ceil(sum(counts[day] for day in some) / rows_per_file), min(len(some), spark.sparkContext.defaultParallelism))
+                ordered = rows.drop("segment").withColumn("_place", place).repartitionByRange(files, "ingest_day", "_place")
+                ordered = ordered.sortWithinPartitions("ingest_day", "_place").drop("_place")
+                with small_splits(spark, _SPLIT_BYTES):
+                    _writer(ordered, row_group_bytes).mode("append").parquet(f"{path}/data/segment={name}")
+            new = Segment(name, True, True, _written(spark, path, name, state.schema) if days else {})
         kept = []
         for s in state.segments:
             left = {day: n for day, n in s.days.items() if day not in days}
@@ -260,15 +296,39 @@ def compact_forensic(
     raise RuntimeError(f"{path}: too many writers at once")
 
 
-def _replaced_days(spark: SparkSession, path: str, state: Manifest) -> set[str]:
-    """Days of clustered rows that a later segment replaces."""
-    newer = winners(spark, path, state)
-    stable = [s for s in state.segments if s.clustered and s.days]
-    if newer is None or not stable:
-        return set()
-    rows = _stored(spark, path, [s.name for s in stable], state.schema)
-    hit = rows.join(newer, rows["event_id"] == newer["_id"], "left_semi").select("ingest_day").distinct()
-    return {str(r.ingest_day) for r in hit.collect()}
+@contextmanager
+def _replaced_ids(spark: SparkSession, path: str, state: Manifest) -> Iterator[DataFrame | None]:
+    """Ids of the rows that a newer segment replaces, with their segment and day, as a table
+    by days that is there until the block ends; None if no segment replaces any.  It is a
+    folder that the manifest does not list, so of a lost job vacuum removes it."""
+    newer = _newer(spark, path, state)
+    if newer is None:
+        yield None
+        return
+    rows = _live(spark, path, state, None).select("event_id", "segment", "ingest_day")
+    gone = rows.join(newer, _replaced(rows, newer, state), "left_semi")
+    folder = f"{path}/data/segment={uuid.uuid4().hex}"
+    try:
+        kinds = T.StructType([gone.schema["event_id"], T.StructField("name", T.StringType()), gone.schema["ingest_day"]])
+        by_day = gone.withColumnRenamed("segment", "name").repartitionByRange("ingest_day", "event_id")
+        by_day.sortWithinPartitions("ingest_day").write.option("compression", "zstd").parquet(folder)
+        yield spark.read.schema(kinds).parquet(folder).withColumnRenamed("name", "segment")
+    finally:
+        remove(spark, folder)
+
+
+def _rounds(spark: SparkSession, rows: dict[str, int], dropped: dict[str, int], rows_per_file: int) -> list[list[str]]:
+    """Neighbouring days, as many as fill the cores once with tasks and whose replaced ids
+    can be sent to every executor; one day at least."""
+    most = rows_per_file * max(_ROUND_FILES, spark.sparkContext.defaultParallelism)
+    rounds, n, ids = [], 0, 0
+    for day in sorted(rows):
+        n, ids = n + rows[day], ids + dropped.get(day, 0)
+        if not rounds or n > most or ids * _ID_BYTES > BROADCAST_BYTES:
+            rounds.append([])
+            n, ids = rows[day], dropped.get(day, 0)
+        rounds[-1].append(day)
+    return rounds
 
 
 def vacuum_forensic(spark: SparkSession, path: str) -> int:

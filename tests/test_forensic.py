@@ -1,5 +1,6 @@
 """The forensic table: replaced rows, crashes, replays, compaction, layout, newest first."""
 
+import time
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -251,3 +252,70 @@ def test_batches_of_a_query_parse_lines_once(spark, tmp_path, monkeypatch):
     store._upserted(spark, str(tmp_path))
     queries.forensic_upsert(spark, str(tmp_path))
     assert len(sources) == 4 and not any("events.parquet/" in f for files in sources for f in files)
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.length()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("ids_sent", [0, 20])
+def test_compaction_goes_in_rounds_and_leaves_nothing_behind(spark, tmp_path, monkeypatch, ids_sent):
+    path = str(tmp_path / "t")
+    # 12 days of 20 rows; most of them replaced, some by rows of other days, two ids twice.
+    frames = [batch(spark, range(240), spread=DAY // 20), batch(spark, [*range(40, 220), 50, 51], action="deny", at=9, spread=DAY // 15)]
+    monkeypatch.setattr(forensic, "BROADCAST_BYTES", ids_sent * forensic._ID_BYTES)
+    wanted, before = expected(frames), shuffle_files(spark)
+    for frame in frames:
+        forensic.upsert_forensic(frame, path)
+    rounds = []
+
+    def writer(rows, row_group_bytes, given=forensic._writer):
+        rounds.append(rows.groupBy("ingest_day").count().collect())
+        return given(rows, row_group_bytes)
+
+    with monkeypatch.context() as m:
+        m.setattr(forensic, "_writer", writer)
+        days = forensic.compact_forensic(spark, path, rows_per_file=5)
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert stored(spark, path) == wanted and forensic.winners(spark, path, forensic.manifest(spark, path)) is None
+    dealt = [str(r.ingest_day) for found in rounds for r in found]
+    assert len(rounds) >= 5 and len(dealt) == len(set(dealt)) and set(dealt) <= set(days)
+    most = 5 * max(8, spark.sparkContext.defaultParallelism)
+    assert all(len(found) == 1 or sum(r["count"] for r in found) <= most for found in rounds)
+    # The two batches, the second segment of the repeated ids, the compacted one.
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 4
+
+
+def test_an_empty_table_is_compacted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    forensic.upsert_forensic(batch(spark, range(3)).where("false"), path, label="none")
+    assert forensic.compact_forensic(spark, path) == [] and stored(spark, path) == []
+    assert not forensic.upsert_forensic(batch(spark, range(3)), path, label="none")
+
+
+def test_files_of_a_batch_are_small_and_packed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    forensic.upsert_forensic(batch(spark, range(10)).coalesce(1), path)
+    (file,) = Path(path).rglob("*.parquet")
+    assert file.stat().st_size < 64 << 10
+    columns = [pq.read_metadata(file).row_group(0).column(i) for i in range(24)]
+    assert {c.compression for c in columns} == {"ZSTD"}
+
+
+def test_queries_keep_no_table_they_are_done_with(spark, tmp_path, monkeypatch):
+    from rampart.functions import session
+    from rampart.plans import store
+
+    rows = [(i * 5_000, i % 50, "purchase", i / 7) for i in range(120)]
+    columns = "event_id long, user_id long, event_type string, value double"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path / "kept"))
+    found = store.forensic_compacted(spark, str(tmp_path))
+    assert [p.name.split("-")[0] for p in (tmp_path / "kept").iterdir()] == ["forensic"]
+    assert len(list((tmp_path / "kept").glob("*/data/*"))) == 1
+    assert found.count() == 120 and found.where("severity = 'Reviewed'").count() > 0
